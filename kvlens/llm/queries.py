@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import secrets, simhash
+from . import byte_bpe, matroska, packing, secrets, simhash, token_files
 
 QUERIES = {
+    "op3_token_files": token_files.op3,
+    "op4_byte_bpe": byte_bpe.op4,
     "op5_secret_scan": secrets.op5,
+    "op7_packing": packing.op7,
+    "op8_matroska": matroska.op8,
     "op9_simhash": simhash.op9,
 }
 
