@@ -3,10 +3,13 @@
 Both vocabularies used here never join what stands on two sides of a chunk's
 border, so that a text's ids are its chunks' ids in order:
 
-* ``"word"``: white space is dropped and parts tokens; chunks are what ASCII white space parts.
+* ``"word"``: white space is dropped and parts tokens; chunks are what ASCII white
+  space parts. ASCII letters are lowered first, as the library's normaliser does.
 * ``"byte"``: a match of the byte-level pattern never goes on past white space
   that follows other characters; a chunk is a run of white space and the other characters after it.
 
+In both, a comma or full stop that follows a letter or digit starts a match, so a chunk ends there too.
+
 Chunks not in the cache are encoded by the library, many in one text: an added
 token, which the library cuts out first, stands between them.
 """
@@ -22,14 +25,41 @@ import numpy as np
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Marks a chunk's key as the chunk itself; other keys of the byte kind are chunks without the one space before them.
+HEAD = "\ufdd0"
+_adjacent = re.compile(f"[{SPACE}][{SPACE}]").search
+_runs = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+_joined = re.compile(r"(?:\W|_)[.,]").search
+
+
+def split_words(text: str) -> list[bytes]:
+    raw = text.encode("utf-8")
+    if "<|" not in text:  # else an added token could come about
+        raw = raw.lower()
+    if not _joined(text):
+        raw = raw.replace(b",", b" ,").replace(b".", b" .")
+    return raw.split()
+
+
+def split_bytes(text: str) -> list[str]:
+    if HEAD in text:
+        return [HEAD + text]
+    if _adjacent(text):
+        return [c[1:] if c[0] == " " else HEAD + c for c in _runs(text)]
+    if not _joined(text):
+        text = text.replace(",", f" {HEAD},").replace(".", f" {HEAD}.")
+    first, *rest = text.split(" ")
+    return [HEAD + first, *rest] if first else rest
+
+
 class ChunkEncoder:
-    """Encodes lists of texts to ids as bytes of ``dtype``; keeps the ids of at most ``cache`` chunks of up to 64 bytes."""
+    """Encodes lists of texts to ids as bytes of ``dtype``; keeps the ids of at most ``cache`` chunks of up to 64 characters."""
 
-    def __init__(self, path: str, kind: str, dtype: str = "<u4", cache: int = 600_000):
+    def __init__(self, path: str, kind: str, dtype: str = "<u4", cache: int = 1_200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind, self.dtype, self.limit = Tokenizer.from_file(path), kind, dtype, cache
-        self.split = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall if kind == "byte" else lambda t: t.encode("utf-8").split()
+        self.split = split_bytes if kind == "byte" else split_words
         self.cache: dict = {}
         # An added token that is cut out of a text before anything else looks at it parts chunks without touching them.
         added = self.tokenizer.get_added_tokens_decoder()
@@ -59,7 +89,7 @@ class ChunkEncoder:
         new = list(set().union(*chunks).difference(cache.keys()))
         for a in range(0, len(new), 20_000):
             part = new[a : a + 20_000]
-            cache.update(zip(part, self._library(part if self.kind == "byte" else [c.decode("utf-8") for c in part]), strict=True))
+            cache.update(zip(part, self._library([c[1:] if c[:1] == HEAD else " " + c for c in part] if self.kind == "byte" else [c.decode("utf-8") for c in part]), strict=True))
         get = cache.__getitem__
         out = [b"".join(map(get, row)) for row in chunks]
         full = len(cache) > self.limit  # what came first stays: common chunks come early

@@ -56,7 +56,7 @@ def put(uri: str, blocks) -> int:
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
     part, n = f"{path}.{uuid.uuid4().hex}", 0
-    with store.open_output_stream(part) as out:
+    with store.open_output_stream(part, compression=None) as out:
         for b in blocks:
             out.write(b)
             n += len(b)
@@ -68,5 +68,5 @@ def get(uri: str) -> bytes:
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(uri)
-    with store.open_input_stream(path) as f:
+    with store.open_input_stream(path, compression=None) as f:
         return f.read()
