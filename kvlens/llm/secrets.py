@@ -69,8 +69,8 @@ def scan(versions: DataFrame, text: str = "text", keep: list[str] | None = None,
     ``ledger`` is the folder of a Parquet ledger that earlier runs left and this one adds to; None: a fresh one.
     """
     spark = versions.sparkSession
-    rows = versions.select(*[versions[c] for c in (keep or [])], F.coalesce(versions[text], F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
-    blobs = rows.groupBy("blob").agg(F.first("text").alias("text"))
+    rows = versions.select(*[versions[c] for c in (keep or [])], F.coalesce(versions[text], F.lit("")).alias("_version")).withColumn("blob", F.sha2("_version", 256))
+    blobs = rows.groupBy("blob").agg(F.first("_version").alias("text"))
     if ledger is not None and _exists(spark, ledger):
         seen = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == rule_version)
         blobs = blobs.join(seen.select(F.col("blob").alias("seen")), F.col("blob") == F.col("seen"), "left_anti")
@@ -82,8 +82,7 @@ def scan(versions: DataFrame, text: str = "text", keep: list[str] | None = None,
         found = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
     # Most blobs hold nothing: only findings travel, and hot blobs are split by the skew join.
     found = found.where("findings <> ''").select(F.col("blob").alias("b"), "findings")
-    left = rows.drop("text") if "text" not in (keep or []) else rows
-    return left.join(found, F.col("blob") == F.col("b"), "left").drop("b").withColumn("findings", F.coalesce("findings", F.lit("")))
+    return rows.drop("_version").join(found, F.col("blob") == F.col("b"), "left").drop("b").withColumn("findings", F.coalesce("findings", F.lit("")))
 
 
 LEDGER = "blob string, rule_version string, findings string"
