@@ -26,10 +26,8 @@ def hash_tag(key):
 
 def crc16(text):
     table = F.array(*[F.lit(x) for x in crc_table()])
-    digits = F.hex(F.encode(text, "UTF-8"))
-    count = F.floor(F.length(digits) / 2).cast("int")
-    places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    codes = F.transform(places, lambda i: F.conv(F.substr(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+    # One character for each byte; the text is an argument, not part of the lambda, so it is evaluated once a row.
+    codes = F.transform(F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), ""), F.ascii)
     step = lambda c, b: F.shiftleft(c, 8).bitwiseAND(65535).bitwiseXOR(F.get(table, F.shiftright(c, 8).bitwiseXOR(b).bitwiseAND(255)))
     return F.aggregate(codes, F.lit(0), step)
 
