@@ -15,8 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+
+
 def epoch_us(column: str):
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column})")
+    return F.expr(_US.replace("ts)", f"{column})"))
 
 
 def _family(df: DataFrame, kind: str, enc: int, key, n, canon, expires: bool = False) -> DataFrame:
@@ -73,8 +76,12 @@ def damaged(src: DataFrame) -> DataFrame:
 
 
 def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change records: flow, seq, opcode, db, txid, shard_cnt, lsn, cmd, args."""
-    e, kind = table(spark, sf_dir, "events"), F.col("event_type")
+    return journal_of(table(spark, sf_dir, "events"))
+
+
+def journal_of(e: DataFrame) -> DataFrame:
+    """Change records of events (a table or a stream): flow, seq, opcode, db, txid, shard_cnt, lsn, cmd, args."""
+    kind = F.col("event_type")
     glob, incr = F.col("event_id") % 997 == 0, F.col("event_id") % 499 == 0
     user, cart = F.concat(F.lit("user:"), F.col("user_id").cast("string")), F.concat(F.lit("cart:"), F.col("user_id").cast("string"))
     value = F.format_string("%f", "value")
@@ -91,3 +98,21 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry: flow, us (epoch microseconds), n, latency (whole hundredths), id."""
     return table(spark, sf_dir, "events").select((F.col("user_id") % FLOWS).alias("flow"), epoch_us("ts").alias("us"), F.lit(1).cast("long").alias("n"), F.round(F.col("value") * 100).cast("long").alias("latency"), F.col("event_id").alias("id"))
+
+
+def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records on lists, sets, sorted sets and expiries: seq, cmd, args."""
+    e = table(spark, sf_dir, "events")
+    user, item, k = F.col("user_id").cast("string"), F.col("event_id").cast("string"), F.get_json_object("props", "$.k")
+    of = lambda kind: F.concat(F.lit(kind + ":"), user)
+    kind, third = F.col("event_type"), F.col("event_id") % 3
+    gone = F.when(third == 0, of("list")).when(third == 1, of("set")).otherwise(of("zset"))
+    until = (F.lit(AS_OF_MS) + (F.col("event_id") % 200 - 100) * 60000).cast("string")
+    args = F.when(kind == "click", F.array(of("list"), item)).when(kind == "view", F.array(of("list"), item, k)).when(kind == "purchase", F.array(of("set"), k)).when(kind == "signup", F.array(of("zset"), F.format_string("%f", "value"), k)).otherwise(F.array(gone))
+    rows = e.select(F.col("event_id").alias("seq"), F.when(kind == "click", "RPUSH").when(kind == "view", "LPUSH").when(kind == "purchase", "SADD").when(kind == "signup", "ZADD").otherwise("DEL").alias("cmd"), args.alias("args"))
+    return rows.unionByName(e.where("event_id % 4 = 1").select(F.col("event_id").alias("seq"), F.lit("PEXPIREAT").alias("cmd"), F.array(of("set"), until).alias("args")))
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of streams: key, ms, no, seq, kind."""
+    return table(spark, sf_dir, "events").select(F.concat(F.lit("stream:"), F.col("user_id").cast("string")).alias("key"), F.expr(f"{_US} div 1000").alias("ms"), F.lit(0).cast("long").alias("no"), F.col("event_id").alias("seq"), F.col("event_type").alias("kind"))

@@ -39,7 +39,7 @@ BOTH = f"""paired as (select s.key, s.type, t.type as target_type, s.expire_ms,
 
 JOURNAL = f"""journal as (select user_id % {FLOWS} as flow, event_id as seq,
   case when event_id % 997 = 0 or event_id % 499 = 0 or event_type in ('click', 'purchase') then 'COMMAND' when event_type = 'error' then 'EXPIRED' when event_type = 'view' then 'PING' else 'LSN' end as opcode,
-  event_id // 3 as txid, 2 as shard_cnt,
+  event_id // 3 as txid, 2::bigint as shard_cnt,
   case when event_id % 997 <> 0 and event_id % 499 <> 0 and event_type = 'signup' then event_id * 2 end as lsn,
   case when event_id % 997 = 0 then 'FLUSHALL' when event_id % 499 = 0 then 'INCR' when event_type = 'click' then 'SET' when event_type = 'purchase' then 'HSET' when event_type = 'error' then 'DEL' end as cmd,
   user_id, printf('%.6f', value) as v, json_extract_string(props, '$.k') as field from events),
@@ -59,7 +59,7 @@ def _slot(key: str) -> str:
 
 NODE = "case " + " ".join(f"when slot between {a} and {b} then '{n}'" for n, a, b in NODES) + " end"
 ROUTED = f"slotted as (select key, type, n, {_slot('key')} as slot from src), routed as (select *, {NODE} as node from slotted)"
-RENDERED = """rendered as (select key, 0 as step, case type when 'string' then 'SET' when 'hash' then 'HSET' when 'list' then 'RPUSH' when 'set' then 'SADD' else 'ZADD' end || ' ' || key || ' ' || canon as command from src where type <> 'stream'
+RENDERED = """rendered as (select key, 0::bigint as step, case type when 'string' then 'SET' when 'hash' then 'HSET' when 'list' then 'RPUSH' when 'set' then 'SADD' else 'ZADD' end || ' ' || key || ' ' || canon as command from src where type <> 'stream'
   union all select key, 1, 'PEXPIREAT ' || key || ' ' || expire_ms from src where type <> 'stream' and expire_ms > 0)"""
 TAGGED = f"tagged as (select key, {_slot('key')} as slot from (select '{{nation' || c_nationkey || '}}:customer:' || c_custkey as key from customer))"
 
@@ -99,7 +99,7 @@ ORACLES = {
     "check_smart": _check(True, "len1 <= 10", True),
     "check_full": _check(True, "true", True),
     **{f"check_full_{k}": _full_of(k) for k in ("string", "hash", "list", "set", "zset", "stream")},
-    "check_summary": _with(SRC, TGT, BOTH, FULL) + "select count(*) as total, count_if(verdict = 'consistent') as consistent, count_if(verdict <> 'consistent') as inconsistent, count_if(verdict = 'missing') as missing from found",
+    "check_summary": _with(SRC, TGT, BOTH, FULL) + "select count(*) as total, count(*) filter (where verdict = 'consistent') as consistent, count(*) filter (where verdict <> 'consistent') as inconsistent, count(*) filter (where verdict = 'missing') as missing from found",
     "check_missing": _with(SRC, TGT) + "select key, type from src where key not in (select key from tgt)",
     "check_type_mismatch": _with(SRC, TGT, BOTH) + "select key, type, target_type from paired where type <> target_type",
     "check_extra": _with(SRC, TGT) + "select key, type from tgt where key not in (select key from src)",
@@ -122,7 +122,7 @@ ORACLES = {
     "classify_journal": _with(JOURNAL) + "select seq, class from classed",
     "skip_global_commands": _with(JOURNAL) + "select seq, cmd from classed where cmd is not null and class <> 'skip_global'",
     "unsupported_commands": _with(JOURNAL) + "select seq, cmd from classed where class = 'unsupported'",
-    "replay_stats": _with(JOURNAL) + "select count(*) as total, count_if(class = 'apply') as ok, count_if(class in ('ping', 'skip_global')) as skipped, count_if(class = 'unsupported') as failed from classed",
+    "replay_stats": _with(JOURNAL) + "select count(*) as total, count(*) filter (where class = 'apply') as ok, count(*) filter (where class in ('ping', 'skip_global')) as skipped, count(*) filter (where class = 'unsupported') as failed from classed",
     "entries_per_flow": _with(JOURNAL) + "select flow, count(*) as entries from journal group by flow",
     "flow_last_lsn": _with(JOURNAL) + "select flow, max_by(lsn, seq) as lsn from journal where lsn is not null group by flow",
     "global_lsn": _with(JOURNAL) + "select max(lsn) as lsn from journal",
@@ -135,3 +135,12 @@ ORACLES = {
     "history_last_n": _with(SAMPLES) + "select id, flow, rank from (select *, row_number() over (partition by flow order by us desc, id desc) as rank from samples) where rank <= 100",
     "metrics_coalesce": _with(SAMPLES) + "select flow, us // 2000000 as span, arg_max(latency, (us, id)) as latency from samples group by all",
 }
+
+
+def _replication() -> dict[str, str]:
+    from .replication import sql
+
+    return sql()
+
+
+ORACLES |= _replication()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..fixtures import AS_OF_MS, damaged, journal, keyspace, samples, table
 from ..functions.slots import slot
 from ..operators import changes, checks, routing, telemetry
+from . import replication
 
 
 def _pair(spark, d):
@@ -107,4 +108,5 @@ QUERIES = {
     "latency_percentiles": _sample(telemetry.percentiles),
     "history_last_n": _sample(lambda s: telemetry.last_n(s, 100).select("id", "flow", "rank")),
     "metrics_coalesce": _sample(telemetry.coalesced),
+    **replication.QUERIES,
 }
