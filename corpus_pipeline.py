@@ -1,4 +1,4 @@
-"""The corpus pipeline: toxicity, SimHash near-dedup, secret scans, packing.
+"""The corpus pipeline: toxicity, near-dedup by SimHash and shingles, secret scans, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 stage's rows as Parquet in the shared folder and reads them back as the next one's
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvlens.llm import packing, secrets, simhash, toxicity
+from kvlens.llm import packing, secrets, shingles, toxicity
 from kvlens.llm.storage import written
 
 REJECT = 0.5
@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies; a doc_id's repeats go as well."""
-    groups = simhash.near_duplicates(docs.where("doc_id is not null"), words=5)
+    groups = shingles.near_copies(docs.where("doc_id is not null"), words=5)
     # One row for each document that stays: its own component's least id.
     stay = written(groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stays")).distinct(), "pipeline-stay")
     kept = docs.join(stay, F.col("doc_id") == F.col("_stays"), "left_semi")

@@ -37,21 +37,25 @@ SEED = 42
 BITS = 64
 
 
-def fingerprint(text: str, words: int = 4) -> int:
-    """The SimHash of a text: a bit is set if it is set in over half the shingles' XXH64."""
+def hashed(text: str, words: int = 4) -> np.ndarray:
+    """The XXH64 of a text's shingles, in text order; a text of fewer words is one shingle."""
     import xxhash
 
     parts = text.encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     digest = xxhash.xxh64_intdigest
-    if len(parts) <= words:
-        return digest(b" ".join(parts), SEED)
     joined = b" ".join(parts)
+    if len(parts) <= words:
+        return np.array([digest(joined, SEED)], np.uint64)
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     end = np.cumsum(size + 1) - 1
     start = (end - size)[: len(parts) - words + 1].tolist()
-    hashes = np.fromiter([digest(joined[a:b], SEED) for a, b in zip(start, end[words - 1 :].tolist(), strict=True)], np.uint64, len(start))
+    return np.fromiter([digest(joined[a:b], SEED) for a, b in zip(start, end[words - 1 :].tolist(), strict=True)], np.uint64, len(start))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     set_bits = np.zeros(BITS, np.int64)
     for a in range(0, len(hashes), 1 << 14):
         part = hashes[a : a + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -60,6 +64,11 @@ def fingerprint(text: str, words: int = 4) -> int:
     return sum(1 << int(b) for b in on)
 
 
+def fingerprint(text: str, words: int = 4) -> int:
+    """The SimHash of a text: a bit is set if it is set in over half the shingles' XXH64."""
+    return majority(hashed(text, words))
+
+
 def with_fingerprint(df: DataFrame, text: str = "text", words: int = 4, name: str = "fp", keep: list[str] | None = None) -> DataFrame:
     """df with a long column: the fingerprint's 64 bits as a signed number."""
 
