@@ -6,12 +6,14 @@ are dealt by a random projection, and each task halves its blocks by further
 projections down to leaves that are compared within. Then rounds of NN-descent:
 each node's forward and reverse neighbours (``degree`` of each at most) meet by
 joins, are compared with each other where either is new, and a pair that is
-closer than the worst neighbour one of them has is offered to that one.
+closer than the worst neighbour one of them has is offered to that one. Rounds
+end when less than ``ENOUGH`` of the edges are new.
 
 A search runs for all queries at once. A query's beam holds its ``beam`` nearest
 nodes so far; each hop joins the unexpanded ones with their neighbour lists,
 leaves out what the query has seen, scores the rest and keeps the best. It ends
-when no query has anything left to expand. The beam is then scored exactly.
+when no query has anything left to expand. The beam is then scored exactly. It
+grows with the square root of the number of nodes, and is ``BEAM`` at least.
 
 The graph and the search use vectors rounded to 8 bits a component; rounding
 decides only what is looked at, never a score that is returned.
@@ -26,6 +28,7 @@ id; an empty table, or one of a single id, gives no rows.
 from __future__ import annotations
 
 import gc
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,8 +39,10 @@ from pyspark.sql import functions as F
 from .storage import discard, written
 
 TREES, LEAF, BLOCK = 4, 1024, 1 << 16
-DEGREE, ROUNDS, ENOUGH = 24, 3, 0.01
-BEAM, MAX_HOPS = 208, 64
+DEGREE, ENOUGH = 24, 0.01
+BEAM, WIDER = 208, 2.5
+#: Guards against a fault only: a graph or search that isn't settled after so many raises.
+ROUNDS, MAX_HOPS = 40, 200
 EDGES = "node long, nbr long, sim float, new boolean"
 
 
@@ -200,7 +205,7 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out_a.append(m[i])
             out_b.append(m[j])
             out_s.append(sim[i, j])
-        if out_a:
+        if any(map(len, out_a)):
             a, b, s = np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
             o = np.lexsort((b, a))
             first = o[np.concatenate([[True], (a[o][1:] != a[o][:-1]) | (b[o][1:] != b[o][:-1])])]
@@ -233,11 +238,18 @@ def graph(units: DataFrame, dim: int, degree: int = DEGREE, rounds: int = ROUNDS
         edges = after
         if changed < enough:
             break
+    else:
+        raise RuntimeError(f"graph: not settled after {rounds} rounds")
     lists = written(edges.union(_reverse(edges, degree)).groupBy("node").agg(F.collect_set("nbr").alias("nbrs")), "ann-graph")
     _freed(edges)
     return lists
 
 
+def width(nodes: int) -> int:
+    """The beam for a graph of so many nodes."""
+    return max(BEAM, math.ceil(WIDER * math.sqrt(nodes)))
+
+
 def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = BEAM) -> DataFrame:
     """Greedy search from each query node (column q): its beam as rows (q, node)."""
     STATE = "q long, node long, sim float, open boolean"
@@ -282,18 +294,20 @@ def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = B
         state = after
         if state.where("open").isEmpty():
             break
+    else:
+        raise RuntimeError(f"search: not settled after {MAX_HOPS} hops")
     _freed(own, *seen)
     return state
 
 
-def nearest(df: DataFrame, is_query: Callable, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", beam: int = BEAM, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def nearest(df: DataFrame, is_query: Callable, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", beam: int | None = None, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """For ids with is_query(column): query_id, rank, vec_id and score (cosine, double) of the k nearest found."""
     vectors, units, dim = nodes_of(df, vec_id, vector, k + 1)
     lists = graph(units, dim, degree, rounds)
     # A node that holds a query's id beyond the first k + 1 of its copies is found by its vector.
     rows = df.select(df[vec_id].cast("long").alias("query_id"), df[vector].cast("array<double>").alias("v")).where(F.col("query_id").isNotNull() & is_query(F.col("query_id"))).distinct()
     queries = written(rows.join(vectors, F.col("v") == F.col("vec")).select("query_id", F.col("node").alias("q")), "ann-asked")
-    state = search(queries, units, lists, beam)
+    state = search(queries, units, lists, beam or width(vectors.count()))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
     theirs = vectors.select(F.col("node").alias("n"), "vec", "ids", F.sqrt(dot("vec", "vec")).alias("norm"))
     mine = vectors.select(F.col("node").alias("m"), F.col("vec").alias("qvec"), F.sqrt(dot("vec", "vec")).alias("qnorm"))

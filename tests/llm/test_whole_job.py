@@ -2,7 +2,11 @@
 
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline as pipeline
+from kvlens.llm import neighbours
 
 
 def shingle_set(text):
@@ -62,3 +66,18 @@ def test_pipeline_near_copies_of_given_table(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     want = brute_components({r.doc_id: shingle_set(r.text) for r in docs.collect()})
     assert {r.doc_id for r in pipeline.drop_near_copies(spark, docs, data).collect()} == set(want.values())
+
+
+def test_op1_settles_or_raises(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((2500, 32))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    _, units, dim = neighbours.nodes_of(df, "vec_id", "embedding", 6)
+    with pytest.raises(RuntimeError, match="not settled"):
+        neighbours.graph(units, dim, degree=8, rounds=1)
+    lists = {r.node for r in neighbours.graph(units, dim, degree=8).collect()}
+    assert len(lists) == len(x)
+
+
+def test_op1_beam_grows():
+    assert neighbours.width(500) == neighbours.BEAM < neighbours.width(100_000) < neighbours.width(1_000_000)
