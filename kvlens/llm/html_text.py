@@ -1,9 +1,11 @@
 """Main text of web pages by a suffix array over each host's token streams.
 
-Pages of a host come together in shards of at most ``SHARD`` pages. A shard's
-words, in page order and with a number of its own after each page, form one
-stream; sorting its suffixes by prefix doubling, to ``LONG`` words deep, puts
-equal runs side by side. A run that stands on two distinct pages or more is
+Pages of a host come together in shards, of about ``SHARD`` pages in a large host
+and of the whole host in others. A shard's words, in page order and with a number
+of its own after each page, form one stream; sorting its suffixes by prefix
+doubling, to ``LONG`` words deep, puts equal runs side by side. The runs of a large
+host's shards are then counted over the host (by a 64-bit hash) and the counts go
+back to the shards. A run that stands on two distinct pages of the host or more is
 repeated, and every longer repeat is a chain of such runs, so their union covers
 just the words in repeats of ``LONG`` words or more.
 
@@ -16,8 +18,7 @@ page's article isn't its text. So the array alone decides on unmarked blocks.
 
 Shards: hosts with more pages than a shard and than 1 in ``HOSTS`` of all pages
 are salted by page, so a host with a third of all pages spreads over as many
-tasks as it fills; others stream through a task a shard at a time. Repeats are
-looked for within a shard.
+tasks as it fills; the pages of any other host are one shard.
 
 Defined cases: null html has an empty text; a null url is a host of its own;
 repeated rows each get a row and don't count as distinct pages if their page_id
@@ -32,11 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import pieces
+from .storage import written
 
 SHARD, LONG, HOSTS = 256, 8, 10_000
 
@@ -180,52 +183,93 @@ def _skip(page: str, at: int, tag: str) -> int:
     return len(page)
 
 
-def repeated(words: list[list[str]], pages: list, long: int = LONG) -> list[np.ndarray]:
-    """For each page's words, which are in a run of ``long`` words or more that stands on distinct pages."""
-    size = np.array([len(w) for w in words], np.int64)
-    number: dict[str, int] = {}
-    n = int(size.sum()) + len(words)
-    stream = np.empty(n, np.int64)
-    ends = np.cumsum(size + 1) - 1
-    flat = [number.setdefault(x, len(number)) for w in words for x in w]
-    body = np.ones(n, bool)
-    body[ends] = False
-    stream[body] = flat
-    stream[ends] = len(number) + np.arange(len(words))  # no run goes over a page's end
-    owner = np.repeat(np.arange(len(words)), size + 1)
-    _, page = np.unique(np.array([str(p) for p in pages]), return_inverse=True)
-    # Prefix doubling: a suffix's rank by its first 2k words is that of the pair of ranks by k words.
-    rank, depth = stream, 1
-    while depth < long:
-        step = min(depth, long - depth)
-        after = np.full(n, -1, np.int64)
-        after[: n - step] = rank[step:]
-        pair = rank * (n + 2) + after + 1
-        order = np.argsort(pair, kind="stable")
-        ordered = pair[order]
-        fresh = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        depth += step
-    order = np.argsort(rank, kind="stable")
-    ordered = rank[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    of = page[owner[order]]
-    many = np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
-    starts = order[np.repeat(many, np.diff(np.append(first, n)))]
-    cover = np.zeros(n + long + 1, np.int64)
-    np.add.at(cover, starts, 1)
-    np.add.at(cover, starts + long, -1)
-    covered = np.cumsum(cover)[:n] > 0
-    return [covered[e - s : e] for s, e in zip(size.tolist(), ends.tolist(), strict=True)]
-
-
-def main_texts(page_ids: list, pages: list[str], long: int = LONG) -> list[str]:
-    """The main texts of a shard's pages."""
+class Runs:
+    """The runs of ``long`` words of pages, by a suffix array; ``count`` is on how many distinct pages each start's run stands."""
+
+    def __init__(self, words: list[list[str]], pages: list, long: int = LONG):
+        self.long = long
+        self.size = np.array([len(w) for w in words], np.int64)
+        number: dict[str, int] = {}
+        self.n = n = int(self.size.sum()) + len(words)
+        stream = np.empty(n, np.int64)
+        self.ends = ends = np.cumsum(self.size + 1) - 1
+        flat = [number.setdefault(x, len(number)) for w in words for x in w]
+        body = np.ones(n, bool)
+        body[ends] = False
+        stream[body] = flat
+        stream[ends] = len(number) + np.arange(len(words))  # no run goes over a page's end
+        self.stream, self.words = stream, list(number)
+        owner = np.repeat(np.arange(len(words)), self.size + 1)
+        self.whole = np.arange(n) + long <= ends[owner]
+        _, page = np.unique(np.array([str(p) for p in pages]), return_inverse=True)
+        # Prefix doubling: a suffix's rank by its first 2k words is that of the pair of ranks by k words.
+        rank, depth = stream, 1
+        while depth < long:
+            step = min(depth, long - depth)
+            after = np.full(n, -1, np.int64)
+            after[: n - step] = rank[step:]
+            pair = rank * (n + 2) + after + 1
+            order = np.argsort(pair, kind="stable")
+            ordered = pair[order]
+            fresh = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+            rank = np.empty(n, np.int64)
+            rank[order] = fresh
+            depth += step
+        of = page[owner]
+        order = np.lexsort((of, rank))
+        new = np.concatenate([[True], (rank[order][1:] != rank[order][:-1]) | (of[order][1:] != of[order][:-1])])
+        _, group = np.unique(rank, return_inverse=True)
+        self.group = group
+        self.count = np.bincount(group[order][new])[group]
+
+    def hashes(self, starts: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the runs at these starts: a polynomial in the words' XXH64."""
+        import xxhash
+
+        of = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) for w in self.words], np.uint64)
+        out = np.zeros(len(starts), np.uint64)
+        for k in range(self.long):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + of[self.stream[starts + k]]
+        return out.view(np.int64)
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each run once: its hash and count."""
+        starts = np.flatnonzero(self.whole)
+        starts = starts[np.unique(self.group[starts], return_index=True)[1]]
+        return self.hashes(starts), self.count[starts]
+
+    def learn(self, run: np.ndarray, count: np.ndarray) -> None:
+        """Takes the counts over a whole host, by hash."""
+        starts = np.flatnonzero(self.whole)
+        if len(run) and len(starts):
+            order = np.argsort(run)
+            run, count = run[order], count[order]
+            mine = self.hashes(starts)
+            at = np.minimum(np.searchsorted(run, mine), len(run) - 1)
+            self.count[starts] = np.where(run[at] == mine, count[at], self.count[starts])
+
+    def covered(self, least: int = 2) -> list[np.ndarray]:
+        """For each page's words, which are in a run that stands on ``least`` distinct pages or more."""
+        starts = np.flatnonzero(self.whole & (self.count >= least))
+        cover = np.zeros(self.n + self.long + 1, np.int64)
+        np.add.at(cover, starts, 1)
+        np.add.at(cover, starts + self.long, -1)
+        found = np.cumsum(cover)[: self.n] > 0
+        return [found[e - s : e] for s, e in zip(self.size.tolist(), self.ends.tolist(), strict=True)]
+
+
+def page_words(parsed: list) -> list[list[str]]:
+    return [[w for text, *_ in b for w in text.split(" ")] for b in parsed]
+
+
+def main_texts(page_ids: list, pages: list[str], long: int = LONG, known: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """The main texts of pages of a host; ``known`` has the hashes and counts of runs over the whole host, if these aren't all of it."""
     parsed = [blocks(p or "") for p in pages]
-    words = [[w for text, *_ in b for w in text.split(" ")] for b in parsed]
+    runs = Runs(page_words(parsed), page_ids, long)
+    if known is not None:
+        runs.learn(*known)
     out = []
-    for found, covered in zip(parsed, repeated(words, page_ids, long), strict=True):
+    for found, covered in zip(parsed, runs.covered(), strict=True):
         article = any(inside and kind != DROP for _, kind, inside in found)
         kept, at = [], 0
         for text, kind, inside in found:
@@ -254,38 +298,60 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     total = pages.count()
     # At most HOSTS hosts hold more than one in HOSTS of the pages: what is broadcast has that bound.
     large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(shard, total // HOSTS)).select(F.col("host").alias("large"), F.ceil(F.col("n") / shard).cast("int").alias("salts"))
-    dealt = rows.join(F.broadcast(large), F.col("host") == F.col("large"), "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("page_id"), F.col("salts")).cast("int")))
-    dealt = dealt.select("page_id", "url", "html", "host", "salt").repartition("host", "salt").sortWithinPartitions("host", "salt", "page_id")
+    large = written(large, "html-large")
+    salted = rows.join(F.broadcast(large), F.col("host") == F.col("large"), "left").withColumn("salt", F.when(F.col("salts").isNull(), -1).otherwise(F.pmod(F.xxhash64("page_id"), F.col("salts")).cast("int")))
+    dealt = salted.select("page_id", "url", "html", "host", "salt", F.lit(None).cast("long").alias("run"), F.lit(None).cast("long").alias("count"))
+    if not large.isEmpty():
+        # Runs of the shards of large hosts, counted over the host, go back to the shards that have them.
+        found = written(_by_shard(dealt.where("salt >= 0"), RUNS, lambda table: _shard_runs(table, long)), "html-runs")
+        whole = found.groupBy("host", "run").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("shards")).where("shards > 1").select(F.col("host").alias("h"), F.col("run").alias("r"), "total")
+        back = found.join(whole, (F.col("host") == F.col("h")) & (F.col("run") == F.col("r")))
+        none = lambda c: F.lit(None).cast(dealt.schema[c].dataType).alias(c)
+        dealt = dealt.union(back.select(none("page_id"), none("url"), none("html"), "host", "salt", "run", F.col("total").alias("count")))
     schema = T.StructType([dealt.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
+    def texts(table: pa.Table) -> pa.RecordBatch:
+        is_run = pc.is_valid(table["run"])
+        runs, table = table.filter(is_run), table.filter(pc.invert(is_run))
+        text = main_texts(table["page_id"].to_pylist(), table["html"].to_pylist(), long, (runs["run"].to_numpy(), runs["count"].to_numpy()))
+        return pa.RecordBatch.from_arrays([table["page_id"].combine_chunks(), table["url"].combine_chunks(), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=schema.names)
+
+    return _by_shard(dealt, schema, texts)
+
+
+RUNS = "host string, salt int, run long, count long"
+
+
+def _shard_runs(table: pa.Table, long: int) -> pa.RecordBatch:
+    runs = Runs(page_words([blocks(p or "") for p in table["html"].to_pylist()]), table["page_id"].to_pylist(), long)
+    run, count = runs.distinct()
+    of = pa.array(np.zeros(len(run), np.int64))
+    return pa.RecordBatch.from_arrays([table["host"].combine_chunks().take(of), table["salt"].combine_chunks().take(of), pa.array(run), pa.array(count.astype(np.int64))], names=["host", "salt", "run", "count"])
+
+
+def _by_shard(dealt: DataFrame, schema, call) -> DataFrame:
+    """Applies ``call`` to the rows of each shard: of each (host, salt)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         key = None
-
-        def done() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            text = main_texts(table["page_id"].to_pylist(), table["html"].to_pylist(), long)
-            held.clear()
-            return pa.RecordBatch.from_arrays([table["page_id"].combine_chunks(), table["url"].combine_chunks(), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=schema.names)
-
         for batch in pieces(batches, "html"):
             keys = list(zip(batch["host"].to_pylist(), batch["salt"].to_pylist(), strict=True))
             a = 0
             while a < len(keys):
                 b = a
-                have = sum(map(len, held)) if keys[a] == key else 0
-                if held and (keys[a] != key or have >= shard):
-                    yield done()
-                    have = 0
+                while b < len(keys) and keys[b] == keys[a]:
+                    b += 1
+                if held and keys[a] != key:
+                    yield call(pa.Table.from_batches(held))
+                    held.clear()
                 key = keys[a]
-                while b < len(keys) and keys[b] == key and have < shard:
-                    b, have = b + 1, have + 1
                 held.append(batch.slice(a, b - a))
                 a = b
         if held:
-            yield done()
+            yield call(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.repartition("host", "salt").sortWithinPartitions("host", "salt", "page_id").mapInArrow(run, schema)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

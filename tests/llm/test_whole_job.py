@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
-from kvlens.llm import neighbours
+from kvlens.llm import html_text, neighbours
 
 
 def shingle_set(text):
@@ -81,3 +81,16 @@ def test_op1_settles_or_raises(spark):
 
 def test_op1_beam_grows():
     assert neighbours.width(500) == neighbours.BEAM < neighbours.width(100_000) < neighbours.width(1_000_000)
+
+
+def test_op10_repeats_over_a_whole_host(spark):
+    """A passage on two pages of a host of many shards goes from both; words of one page stay."""
+    rng = random.Random(9)
+    some = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    own = [some(12) for _ in range(60)]
+    passage = [some(9) for _ in range(30)]
+    rows = [(i, f"https://one.example/{i}", f"<div>{passage[i % 30]}</div><p>{own[i]}</p>") for i in range(60)]
+    rows.append((60, "https://two.example/1", f"<div>{passage[0]}</div>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df, shard=4).collect()}
+    assert got == {**dict(enumerate(own)), 60: passage[0]}
