@@ -11,8 +11,9 @@ just the words in repeats of ``LONG`` words or more.
 
 Covered words are boilerplate and uncovered runs are kept, with one check after
 it: marked-up structure has the last word where there is any. Inside an article
-(or main element) repeated words stay, as syndicated articles and quoted passages
-repeat too; menus, headers, footers, sidebars, notices, adverts, forms and
+(or main element) a block goes if all its words are in runs on half of the host's
+pages (``MANY`` at least) and the article has other blocks; what repeats less stays,
+as syndicated articles and quoted passages repeat too; menus, headers, footers, sidebars, notices, adverts, forms and
 comments go even where they stand on one page only; and what is outside of a
 page's article isn't its text. So the array alone decides on unmarked blocks.
 
@@ -42,6 +43,8 @@ from .arrow import pieces
 from .storage import written
 
 SHARD, LONG, HOSTS = 256, 8, 10_000
+#: A block of an article is boilerplate if its words are on half of the host's pages, and on so many at least.
+MANY = 3
 
 # Names of HTML elements, and words of class, id and role by which sites mark what isn't text.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "video", "audio", "xmp", "noembed", "noframes"}
@@ -262,20 +265,26 @@ def page_words(parsed: list) -> list[list[str]]:
     return [[w for text, *_ in b for w in text.split(" ")] for b in parsed]
 
 
-def main_texts(page_ids: list, pages: list[str], long: int = LONG, known: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
-    """The main texts of pages of a host; ``known`` has the hashes and counts of runs over the whole host, if these aren't all of it."""
+def main_texts(page_ids: list, pages: list[str], long: int = LONG, known: tuple[np.ndarray, np.ndarray] | None = None, of: int | None = None) -> list[str]:
+    """The main texts of pages of a host; if these aren't all of it, ``known`` has the hashes and counts of runs over the whole host, and ``of`` its number of pages."""
     parsed = [blocks(p or "") for p in pages]
     runs = Runs(page_words(parsed), page_ids, long)
     if known is not None:
         runs.learn(*known)
+    many = max(MANY, -(-(of or len(set(page_ids))) // 2))
     out = []
-    for found, covered in zip(parsed, runs.covered(), strict=True):
+    for found, covered, common in zip(parsed, runs.covered(), runs.covered(many), strict=True):
         article = any(inside and kind != DROP for _, kind, inside in found)
-        kept, at = [], 0
-        for text, kind, inside in found:
-            n = text.count(" ") + 1
-            boiler = covered[at : at + n]
-            at += n
+        size = np.array([text.count(" ") + 1 for text, *_ in found], np.int64)
+        start = np.cumsum(size) - size
+        within = [(a, n) for (_, kind, inside), a, n in zip(found, start.tolist(), size.tolist(), strict=True) if inside and kind != DROP]
+        # Where nothing else is in the article, the pages are copies of each other and it stays.
+        copies = all(common[a : a + n].all() for a, n in within)
+        kept = []
+        for (text, kind, inside), a, n in zip(found, start.tolist(), size.tolist(), strict=True):
+            boiler = covered[a : a + n]
+            if inside and not copies and common[a : a + n].all():
+                continue
             if kind == DROP or article and not inside:
                 continue
             if not inside and boiler.any():
@@ -297,23 +306,23 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     rows = rows.withColumn("host", F.coalesce(F.lower(F.regexp_extract(F.col("url"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit("")))
     total = pages.count()
     # At most HOSTS hosts hold more than one in HOSTS of the pages: what is broadcast has that bound.
-    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(shard, total // HOSTS)).select(F.col("host").alias("large"), F.ceil(F.col("n") / shard).cast("int").alias("salts"))
+    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.coalesce(F.col("page_id").cast("string"), F.lit("None"))).alias("of")).where(F.col("n") > max(shard, total // HOSTS)).select(F.col("host").alias("large"), "of", F.ceil(F.col("n") / shard).cast("int").alias("salts"))
     large = written(large, "html-large")
     salted = rows.join(F.broadcast(large), F.col("host") == F.col("large"), "left").withColumn("salt", F.when(F.col("salts").isNull(), -1).otherwise(F.pmod(F.xxhash64("page_id"), F.col("salts")).cast("int")))
-    dealt = salted.select("page_id", "url", "html", "host", "salt", F.lit(None).cast("long").alias("run"), F.lit(None).cast("long").alias("count"))
+    dealt = salted.select("page_id", "url", "html", "host", "salt", "of", F.lit(None).cast("long").alias("run"), F.lit(None).cast("long").alias("count"))
     if not large.isEmpty():
         # Runs of the shards of large hosts, counted over the host, go back to the shards that have them.
         found = written(_by_shard(dealt.where("salt >= 0"), RUNS, lambda table: _shard_runs(table, long)), "html-runs")
         whole = found.groupBy("host", "run").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("shards")).where("shards > 1").select(F.col("host").alias("h"), F.col("run").alias("r"), "total")
         back = found.join(whole, (F.col("host") == F.col("h")) & (F.col("run") == F.col("r")))
         none = lambda c: F.lit(None).cast(dealt.schema[c].dataType).alias(c)
-        dealt = dealt.union(back.select(none("page_id"), none("url"), none("html"), "host", "salt", "run", F.col("total").alias("count")))
+        dealt = dealt.union(back.select(none("page_id"), none("url"), none("html"), "host", "salt", none("of"), "run", F.col("total").alias("count")))
     schema = T.StructType([dealt.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def texts(table: pa.Table) -> pa.RecordBatch:
         is_run = pc.is_valid(table["run"])
         runs, table = table.filter(is_run), table.filter(pc.invert(is_run))
-        text = main_texts(table["page_id"].to_pylist(), table["html"].to_pylist(), long, (runs["run"].to_numpy(), runs["count"].to_numpy()))
+        text = main_texts(table["page_id"].to_pylist(), table["html"].to_pylist(), long, (runs["run"].to_numpy(), runs["count"].to_numpy()), table["of"][0].as_py())
         return pa.RecordBatch.from_arrays([table["page_id"].combine_chunks(), table["url"].combine_chunks(), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=schema.names)
 
     return _by_shard(dealt, schema, texts)

@@ -94,3 +94,16 @@ def test_op10_repeats_over_a_whole_host(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.extract(df, shard=4).collect()}
     assert got == {**dict(enumerate(own)), 60: passage[0]}
+
+
+@pytest.mark.parametrize("shard", [4, 256])
+def test_op10_boilerplate_inside_articles(spark, shard):
+    """A notice in every article of a host goes; a passage that two articles quote stays, and so do articles that are whole copies."""
+    rng = random.Random(10)
+    some = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    own, notice, quote, copy = [some(12) for _ in range(20)], some(10), some(10), some(20)
+    rows = [(i, f"https://one.example/{i}", f"<article><p>{own[i]}</p>{f'<p>{quote}</p>' if i < 2 else ''}<p>{notice}</p></article>") for i in range(20)]
+    rows += [(20 + i, f"https://two.example/{i}", f"<article><p>{copy}</p></article>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df, shard=shard).collect()}
+    assert got == {**{i: own[i] + ("\n" + quote if i < 2 else "") for i in range(20)}, **{20 + i: copy for i in range(5)}}
