@@ -14,8 +14,8 @@ it: marked-up structure has the last word where there is any. Inside an article
 (or main element) a block goes if all its words are in runs on half of the host's
 pages (``MANY`` at least) and the article has other blocks; what repeats less stays,
 as syndicated articles and quoted passages repeat too; menus, headers, footers, sidebars, notices, adverts, forms and
-comments go even where they stand on one page only; and what is outside of a
-page's article isn't its text. So the array alone decides on unmarked blocks.
+comments go even where they stand on one page only. The array alone decides on
+unmarked blocks outside of articles, whether or not the page has an article.
 
 Shards: hosts with more pages than a shard and than 1 in ``HOSTS`` of all pages
 are salted by page, so a host with a third of all pages spreads over as many
@@ -54,6 +54,10 @@ DROPPED = {"nav", "footer", "aside", "form", "head", "menu", "dialog", "button",
 DROP_WORDS = {"ad", "ads", "adbox", "adsense", "adslot", "advert", "adverts", "advertisement", "advertising", "adv", "sponsor", "sponsored", "promo", "promotion", "promoted", "banner", "sidebar", "sidebars", "rail", "widget", "widgets", "nav", "navbar", "navigation", "menu", "menus", "breadcrumb", "breadcrumbs", "footer", "colophon", "masthead", "topbar", "toolbar", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "disclaimer", "popup", "modal", "overlay", "paywall", "newsletter", "subscribe", "subscription", "signup", "login", "comment", "comments", "commentlist", "reply", "replies", "disqus", "discussion", "respond", "share", "sharing", "social", "related", "recommended", "recommendations", "pagination", "pager", "skip", "search", "copyright", "legal", "contentinfo", "complementary"}
 HEAD_WORDS = {"header", "head", "heading", "top"}
 MAIN_WORDS = {"article", "main", "content", "story", "entry", "post", "articlebody"}
+#: Words that name a subject as well: inside an article a class of these alone marks nothing.
+SUBJECTS = {"legal", "search", "notice", "notices", "alert", "discussion", "consent", "promotion", "rail"}
+#: Words that stand beside those words in the name of a page's part.
+PARTS = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container", "content", "div", "fixed", "form", "global", "group", "holder", "icons", "inner", "item", "items", "left", "level", "line", "link", "links", "list", "main", "outer", "page", "panel", "primary", "right", "secondary", "section", "side", "site", "slot", "sticky", "thread", "top", "unit", "wrap", "wrapper", "zone"}
 BEFORE = {"with", "has", "no", "without", "js", "is"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([A-Za-z][A-Za-z0-9:_-]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:_-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
@@ -64,9 +68,14 @@ _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 PLAIN, MAIN, DROP = 0, 1, 2
 
 
+def _marks(names: list[list[str]], marking: set[str]) -> bool:
+    """Whether a class or id as a whole names a part of a page by one of these words: not a word within another name."""
+    return any(not marking.isdisjoint(parts) and all(p in marking or p in PARTS or len(p) == 1 for p in parts) for parts in names)
+
+
 def _kind(tag: str, attributes: str, outer: int, inside: bool) -> tuple[int, bool]:
     """What an element's blocks are, and whether it is an article or main element itself."""
-    words, role, main_part = [], "", False
+    names, role, main_part = [], "", False
     if attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values)
@@ -80,19 +89,19 @@ def _kind(tag: str, attributes: str, outer: int, inside: bool) -> tuple[int, boo
                 for one in value.split():
                     parts = [w.lower() for w in _WORDS.findall(one)]
                     if not any(p in BEFORE for p in parts):
-                        words += parts
+                        names.append(parts)
     if outer == DROP or tag in DROPPED:
         return DROP, False
     if tag in ("body", "html"):
         return outer, False
-    found = set(words) | ({role} if role else set())
     if tag == "main" or role == "main":
         return MAIN, True
-    if found & DROP_WORDS:
-        return DROP, False
     if tag == "article" or main_part:
         return MAIN, True
-    if not inside and (tag == "header" or found & HEAD_WORDS and not found & MAIN_WORDS):
+    if role in DROP_WORDS or _marks(names, DROP_WORDS - SUBJECTS if inside else DROP_WORDS):
+        return DROP, False
+    in_main = any(not MAIN_WORDS.isdisjoint(parts) for parts in names)
+    if not inside and (tag == "header" or (role in HEAD_WORDS or _marks(names, HEAD_WORDS)) and not in_main):
         return DROP, False
     return outer, False
 
@@ -210,7 +219,7 @@ class Runs:
         while depth < long:
             step = min(depth, long - depth)
             after = np.full(n, -1, np.int64)
-            after[: n - step] = rank[step:]
+            after[: max(0, n - step)] = rank[step:]
             pair = rank * (n + 2) + after + 1
             order = np.argsort(pair, kind="stable")
             ordered = pair[order]
@@ -274,7 +283,6 @@ def main_texts(page_ids: list, pages: list[str], long: int = LONG, known: tuple[
     many = max(MANY, -(-(of or len(set(page_ids))) // 2))
     out = []
     for found, covered, common in zip(parsed, runs.covered(), runs.covered(many), strict=True):
-        article = any(inside and kind != DROP for _, kind, inside in found)
         size = np.array([text.count(" ") + 1 for text, *_ in found], np.int64)
         start = np.cumsum(size) - size
         within = [(a, n) for (_, kind, inside), a, n in zip(found, start.tolist(), size.tolist(), strict=True) if inside and kind != DROP]
@@ -285,7 +293,7 @@ def main_texts(page_ids: list, pages: list[str], long: int = LONG, known: tuple[
             boiler = covered[a : a + n]
             if inside and not copies and common[a : a + n].all():
                 continue
-            if kind == DROP or article and not inside:
+            if kind == DROP:
                 continue
             if not inside and boiler.any():
                 text = " ".join(w for w, c in zip(text.split(" "), boiler.tolist(), strict=True) if not c)

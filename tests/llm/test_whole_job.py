@@ -107,3 +107,13 @@ def test_op10_boilerplate_inside_articles(spark, shard):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.extract(df, shard=shard).collect()}
     assert got == {**{i: own[i] + ("\n" + quote if i < 2 else "") for i in range(20)}, **{20 + i: copy for i in range(5)}}
+
+
+def test_op10_keeps_what_is_not_marked():
+    """Class words within other names drop nothing; nor does a teaser article drop the text beside it."""
+    texts = lambda page: html_text.main_texts([1], [page])[0]
+    assert texts("<article class='post category-legal comments-open'><p>one</p><section class='discussion'>two</section></article>") == "one\ntwo"
+    assert texts("<div class='top-story-search-engines'>one</div><div id='social-history'>two</div>") == "one\ntwo"
+    assert texts("<div class='text'>the main text</div><article>a teaser</article>") == "the main text\na teaser"
+    assert texts("<div class='site-footer'>a</div><div class='ad'>b</div><div id='commentList'>c</div><div class='share-buttons'>d</div><div role='search'>e</div><nav>f</nav><p>g</p>") == "g"
+    assert texts("<article><p>one</p><div class='sidebar-left ad-slot-2'>a</div><aside>b</aside></article>") == "one"
