@@ -5,9 +5,9 @@ stage's rows as Parquet in the shared folder and reads them back as the next one
 documents. All but the last keep the columns of ``documents``.
 
 Defined cases: null and empty texts are kept by toxicity (score 0), are copies of
-each other for near-dedup, and pack as the end id alone; of rows with one doc_id the
-near-dedup keeps one; rows with a null doc_id, which can't be named as the one to
-stay, all stay; an empty table stays empty.
+each other for near-dedup, and pack as the end id alone; near-dedup goes by rows, so
+rows of one doc_id with unrelated texts all stay, and of near copies without any
+doc_id one does; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -29,17 +29,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; a doc_id's repeats go as well."""
-    groups = shingles.near_copies(docs.where("doc_id is not null"), words=5)
-    # One row for each document that stays: its own component's least id.
-    stay = written(groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stays")).distinct(), "pipeline-stay")
-    kept = docs.join(stay, F.col("doc_id") == F.col("_stays"), "left_semi")
-    # Repeats of one doc_id: only the ids that have any are sorted.
-    twice = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_twice"))
-    single = kept.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti")
-    least = kept.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row"))
-    repeats = least.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
-    return single.unionByName(repeats).unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies: that with the smallest doc_id, null last."""
+    groups = shingles.near_copies(docs)
+    # One row for each group: the doc_id and the text (by its shingles) that stay.
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("sig") == F.col("component_sig")))
+    stay = written(stay.select(F.col("doc_id").alias("_stays"), F.col("sig").alias("_text")).distinct(), "pipeline-stay")
+    signed = shingles.with_set(docs, whole=False)
+    kept = written(signed.join(stay, (F.col("sig") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi"), "pipeline-kept")
+    # Repeats of a row that stays: only those that have any are sorted. Each sig has one doc_id here.
+    twice = kept.groupBy("sig").count().where("count > 1").select(F.col("sig").alias("_twice"))
+    single = kept.join(twice, F.col("sig") == F.col("_twice"), "left_anti")
+    least = kept.join(twice, F.col("sig") == F.col("_twice"), "left_semi").groupBy("sig").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return single.select(*docs.columns).unionByName(least.select("_row.*"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

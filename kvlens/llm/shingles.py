@@ -156,11 +156,12 @@ def linked(sets: DataFrame, max_bits: int = 4, bucket_limit: int = 4096) -> Data
 
 
 def near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
-    """One row per row of df: doc_id, sig, component_id (the least doc_id of its near copies)."""
+    """One row per row of df: doc_id, sig, and component_id and component_sig (those of the least doc_id of its near copies, null last)."""
     rows = written(with_set(df, text, words, [doc_id]).withColumnRenamed(doc_id, "doc_id"), "shingles-rows")
     sets = written(rows.dropDuplicates(["sig"]).select("sig", "fp", "n", "shingles"), "shingles-sets")
     root = written(linked(sets), "shingles-roots")
     named = rows.select("doc_id", "sig").join(root, F.col("sig") == F.col("node"), "left").select("doc_id", "sig", F.coalesce("root", "sig").alias("root"))
     named = written(named, "shingles-named")
-    best = named.groupBy("root").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("root", "r")
-    return named.join(best, F.col("root") == F.col("r")).select("doc_id", "sig", "component_id")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("least")
+    best = named.groupBy("root").agg(least).select(F.col("root").alias("r"), F.col("least.doc_id").alias("component_id"), F.col("least.sig").alias("component_sig"))
+    return named.join(best, F.col("root") == F.col("r")).select("doc_id", "sig", "component_id", "component_sig")

@@ -117,3 +117,14 @@ def test_op10_keeps_what_is_not_marked():
     assert texts("<div class='text'>the main text</div><article>a teaser</article>") == "the main text\na teaser"
     assert texts("<div class='site-footer'>a</div><div class='ad'>b</div><div id='commentList'>c</div><div class='share-buttons'>d</div><div role='search'>e</div><nav>f</nav><p>g</p>") == "g"
     assert texts("<article><p>one</p><div class='sidebar-left ad-slot-2'>a</div><aside>b</aside></article>") == "one"
+
+
+def test_pipeline_repeated_and_null_ids(spark, data):
+    """Rows count, not ids: unrelated texts of one doc_id stay, near copies of null doc_ids go."""
+    rng = random.Random(4)
+    some = lambda: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(60))
+    a, b, c, d = some(), some(), some(), some()
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, b + " more"), (None, c), (None, c + " more"), (None, a), (None, d), (4, d)]
+    got = sorted((r.doc_id or 0, r.text) for r in pipeline.drop_near_copies(spark, table(spark, rows), data).collect())
+    assert [i for i, _ in got] == [0, 1, 2, 4]
+    assert got[1:] == [(1, a), (2, b), (4, d)] and got[0][1] in (c, c + " more")
