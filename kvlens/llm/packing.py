@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import pieces, texts
-from .encoding import chunk_encoder
+from .arrow import pieces
+from .encoding import PIECE, chunk_encoder
 
 CAPACITY = 1024
 #: The share of a slot that may stay empty.
@@ -107,20 +107,19 @@ def pack(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", e
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(path, "byte")
         packer, kind = None, None
-        end = np.array([end_id], "<u4").tobytes()
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             doc, start, ids, sequence, offset = zip(*rows, strict=True) if rows else ([],) * 5
             numbers = lambda x: pa.array(x, pa.int64())
             return pa.RecordBatch.from_arrays([pa.array([d[0] for d in doc], kind), numbers(start), numbers([len(i) for i in ids]), pa.array([i.tobytes() for i in ids], pa.binary()), numbers([d[1] for d in doc]), numbers(sequence), numbers(offset)], names=schema.names)
 
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", PIECE):
             if packer is None:
                 packer, kind = Packer(capacity, slack, piece["part"][0].as_py() << 40), piece["doc_id"].type
             rows = []
-            for doc, ids in zip(piece["doc_id"].to_pylist(), encoder.encode(texts(piece, "text")), strict=True):
-                ids = np.frombuffer(ids + end, "<u4")
-                rows += packer.add((doc, len(ids)), ids)
+            ids, count = encoder.encode_array(piece["text"], end_id)
+            for doc, own in zip(piece["doc_id"].to_pylist(), np.split(ids, np.cumsum(count)[:-1]), strict=True):
+                rows += packer.add((doc, len(own)), own)
             yield batch(rows)
         if packer is not None:
             yield batch(list(packer.finish()))

@@ -13,9 +13,13 @@ a control byte, which holds those of four numbers (the first in the low bits);
 control bytes stand apart from data, so that a decoder looks up four lengths at
 a time. ``vocabulary.bin`` beside the files has the ids by rank as u32.
 
+Documents are dealt by ranges of (doc_id, a hash of their ids), so one doc_id may
+hold any share of the rows; a partition's documents go to one file after another,
+of about ``FILE`` packed bytes each.
+
 Defined cases: null and empty texts are the end id alone; rows of the same
-doc_id stand in order of their ids' bytes; null doc_ids come first; an empty
-table gives no files and no rows.
+doc_id stand in order of that hash, then of their ids' bytes; null doc_ids come
+first; an empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -26,12 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import pieces, with_columns
-from .encoding import chunk_encoder
+from .arrow import pieces
+from .encoding import PIECE, blobs, chunk_encoder
 from .storage import discard, fresh, get, put, written
 
 MAGIC, HEAD = b"TKVB", struct.Struct("<4sIQQQ")
@@ -41,6 +46,8 @@ _OFFSETS = (np.cumsum(_LENGTHS, axis=1) - _LENGTHS).astype(np.int64)
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(5)], np.uint32)
 #: Control bytes decoded at a time.
 STEP = 1 << 18
+#: Packed bytes after which a file ends.
+FILE = 1 << 24
 
 
 def pack_numbers(x: np.ndarray) -> tuple[bytes, bytes]:
@@ -106,11 +113,15 @@ def encode(df: DataFrame, path: str, kind: str, text: str = "text", doc_id: str
 
     dtype = "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
 
-    def make():
-        e, end = chunk_encoder(path, kind, dtype), np.array([end_id], dtype).tobytes()
-        return lambda rows: [pa.array([x + end for x in e.encode(rows)], pa.binary())]
+    source = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
+    schema = T.StructType([source.schema["doc_id"], T.StructField("ids", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = chunk_encoder(path, kind, dtype)
+        for piece in pieces(batches, "text", PIECE):
+            yield pa.RecordBatch.from_arrays([piece["doc_id"], blobs(*encoder.encode_array(piece["text"], end_id))], names=["doc_id", "ids"])
 
-    out = with_columns(df.select(df[doc_id].alias("doc_id"), df[text].alias("text")), "text", [T.StructField("ids", T.BinaryType())], make, ["doc_id"])
+    out = source.mapInArrow(run, schema)
     out.ids_dtype = dtype
     return out
 
@@ -132,8 +143,8 @@ def frequencies(ids: DataFrame, dtype: str) -> DataFrame:
     return ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write(df: DataFrame, path: str, kind: str, folder: str | None = None, text: str = "text", doc_id: str = "doc_id", end_id: int = 1) -> tuple[DataFrame, str]:
-    """Writes files of all documents; gives their manifest (file_no, path, n_docs, n_ids; one row a file) and folder."""
+def write(df: DataFrame, path: str, kind: str, folder: str | None = None, text: str = "text", doc_id: str = "doc_id", end_id: int = 1, file_bytes: int = FILE) -> tuple[DataFrame, str]:
+    """Writes files of all documents; gives their manifest (part, file_no, path, n_docs, n_ids; one row a file) and folder."""
     spark = df.sparkSession
     folder = folder or fresh(spark, "token-files")
     encoded = encode(df, path, kind, text, doc_id, end_id)
@@ -146,40 +157,66 @@ def write(df: DataFrame, path: str, kind: str, folder: str | None = None, text:
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, "<u4")
     rank[by_rank] = np.arange(len(by_rank))
     shared = spark.sparkContext.broadcast(rank)
-    dealt = ids.repartitionByRange(F.col("doc_id").asc_nulls_first(), "ids").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids").withColumn("file_no", F.spark_partition_id())
-    key = ids.schema["doc_id"]
+    # Sort keys are sampled by the driver, so no ids are among them.
+    dealt = ids.withColumn("hash", F.xxhash64("ids")).repartitionByRange(F.col("doc_id").asc_nulls_first(), "hash").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash", "ids")
+    field = ids.schema["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A partition is a file: its ranks are held packed, a batch at a time.
-        docs, counts, control, data, pending, no, total = [], [], [], [], np.zeros(0, "<u4"), 0, 0
-        for batch in pieces(batches, "ids"):
-            no = batch["file_no"][0].as_py()
-            docs.append(batch["doc_id"])
-            blobs = batch["ids"].to_pylist()
-            counts += [len(b) // np.dtype(dtype).itemsize for b in blobs]
-            ranks = np.concatenate([pending, shared.value[np.frombuffer(b"".join(blobs), dtype)]])
-            total += len(ranks) - len(pending)
-            whole = len(ranks) // 4 * 4
-            c, d = pack_numbers(ranks[:whole])
-            control.append(c)
-            data.append(d)
-            pending = ranks[whole:]
-        if not docs:
-            return
-        c, d = pack_numbers(pending)
-        c1, d1 = pack_numbers(np.array(counts))
-        at = f"{folder}/part-{no:06d}.tkvb"
-        put(at, [_head(len(counts), total, len(d1)), c1, d1, *control, c, *data, d])
-        # The files have no doc_ids: they go beside them, in the manifest's own order.
-        put(at + ".ids", [_column(docs)])
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((no, pa.int32()), (at, pa.string()), (len(counts), pa.int64()), (total, pa.int64()))], names=["file_no", "path", "n_docs", "n_ids"])
-
-    manifest = written(dealt.select("doc_id", "ids", "file_no").mapInArrow(run, "file_no int, path string, n_docs long, n_ids long"), "token-manifest")
+        no, file = 0, None
+        for batch in pieces(batches, "ids", min(1 << 20, file_bytes)):
+            if file is None:
+                part, file = batch["part"][0].as_py(), _File()
+            counts = pc.binary_length(batch["ids"]).to_numpy() // np.dtype(dtype).itemsize
+            file.add(batch["doc_id"], counts, shared.value[np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype)])
+            if file.size >= file_bytes:
+                yield file.put(folder, part, no)
+                no, file = no + 1, _File()
+        if file is not None and file.counts:
+            yield file.put(folder, part, no)
+
+    manifest = written(dealt.select("doc_id", "ids", F.spark_partition_id().alias("part")).mapInArrow(run, MANIFEST), "token-manifest")
     discard(ids)
-    manifest.doc_id_field = key
+    manifest.doc_id_field = field
     return manifest, folder
 
 
+MANIFEST = "part int, file_no int, path string, n_docs long, n_ids long"
+
+
+class _File:
+    """A file's documents, packed as they come."""
+
+    def __init__(self):
+        self.docs, self.counts, self.control, self.data, self.pending, self.total, self.size = [], [], [], [], np.zeros(0, "<u4"), 0, 0
+
+    def add(self, docs: pa.Array, counts: np.ndarray, ranks: np.ndarray) -> None:
+        self.docs.append(docs)
+        self.counts.append(counts)
+        self.total += len(ranks)
+        ranks = np.concatenate([self.pending, ranks])
+        whole = len(ranks) // 4 * 4
+        self._pack(ranks[:whole])
+        self.pending = ranks[whole:]
+
+    def _pack(self, ranks: np.ndarray) -> None:
+        control, data = pack_numbers(ranks)
+        self.control.append(control)
+        self.data.append(data)
+        self.size += len(control) + len(data)
+
+    def put(self, folder: str, part: int, no: int) -> pa.RecordBatch:
+        """Writes the file; its row of the manifest."""
+        self._pack(self.pending)
+        counts = np.concatenate(self.counts)
+        control, data = pack_numbers(counts)
+        at = f"{folder}/part-{part:06d}-{no:05d}.tkvb"
+        put(at, [_head(len(counts), self.total, len(data)), control, data, *self.control, *self.data])
+        # The files have no doc_ids: they go beside them, in the manifest's own order.
+        put(at + ".ids", [_column(self.docs)])
+        values = ((part, pa.int32()), (no, pa.int32()), (at, pa.string()), (len(counts), pa.int64()), (self.total, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in values], names=["part", "file_no", "path", "n_docs", "n_ids"])
+
+
 def _column(parts: list[pa.Array]) -> bytes:
     sink = pa.BufferOutputStream()
     table = pa.table({"doc_id": pa.chunked_array(parts)})
@@ -191,11 +228,13 @@ def _column(parts: list[pa.Array]) -> bytes:
 def read(manifest: DataFrame, folder: str, field: T.StructField) -> DataFrame:
     """Rows of the files: doc_id, start (ids of all documents before), n_tokens, ids_crc32."""
     spark = manifest.sparkSession
-    # One row a file: what stands before each file.
-    files = manifest.orderBy("file_no").collect()
-    before = np.concatenate([[0], np.cumsum([f.n_ids for f in files])]).tolist()
-    rows = [(f.file_no, f.path, b) for f, b in zip(files, before, strict=False)]
-    todo = spark.createDataFrame(rows, "file_no int, path string, before long").repartitionByRange(max(1, len(rows)), "file_no")
+    # One row for each partition of the writer; files are added up within theirs.
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
+    upto = np.cumsum([0, *(p.n for p in parts)]).tolist()
+    begin = spark.createDataFrame([(p.part, b) for p, b in zip(parts, upto, strict=False)], "p int, begin long")
+    earlier = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = manifest.select("part", "file_no", "path", earlier.alias("earlier")).join(F.broadcast(begin), F.col("part") == F.col("p"))
+    todo = files.select("part", "file_no", "path", (F.col("begin") + F.col("earlier")).alias("before")).repartitionByRange(max(1, len(parts)), "part", "file_no")
     names = ("start", "n_tokens", "ids_crc32")
     schema = T.StructType([field, *[T.StructField(n, T.LongType()) for n in names]])
 
