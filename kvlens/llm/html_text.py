@@ -1,29 +1,32 @@
 """Main text of web pages by a suffix array over each host's token streams.
 
-Pages of a host come together in shards, of about ``SHARD`` pages in a large host
-and of the whole host in others. A shard's words, in page order and with a number
-of its own after each page, form one stream; sorting its suffixes by prefix
-doubling, to ``LONG`` words deep, puts equal runs side by side. The runs of a large
-host's shards are then counted over the host (by a 64-bit hash) and the counts go
-back to the shards. A run that stands on two distinct pages of the host or more is
-repeated, and every longer repeat is a chain of such runs, so their union covers
-just the words in repeats of ``LONG`` words or more.
+Pages are taken where they lie, in shards of at most ``SHARD`` pages and
+``SHARD_BYTES`` of text. A shard's words form one stream; sorting its suffixes by
+prefix doubling, to ``LONG`` words deep, puts equal runs of a host side by side. A
+run that stands on two distinct pages of its host is repeated, and every longer
+repeat is a chain of such runs, so their union covers just the words in repeats of
+``LONG`` words or more.
+
+Shards then compare notes, without moving a page. Equal runs hold the same least
+hash of their shorter runs (a minimizer), so a shard sends the set of its
+minimizers, packed, to the host's parts, and gets back those that another shard
+has too. Only runs with such a minimizer can stand in two shards: they are added
+up over the host by a 64-bit hash, and the sums go back. The result is that of one
+array over the whole host, whatever the shards.
 
 Covered words are boilerplate and uncovered runs are kept, with one check after
 it: marked-up structure has the last word where there is any. Inside an article
-(or main element) a block goes if all its words are in runs on half of the host's
-pages (``MANY`` at least) and the article has other blocks; what repeats less stays,
-as syndicated articles and quoted passages repeat too; menus, headers, footers, sidebars, notices, adverts, forms and
-comments go even where they stand on one page only. The array alone decides on
-unmarked blocks outside of articles, whether or not the page has an article.
-
-Shards: hosts with more pages than a shard and than 1 in ``HOSTS`` of all pages
-are salted by page, so a host with a third of all pages spreads over as many
-tasks as it fills; the pages of any other host are one shard.
-
-Defined cases: null html has an empty text; a null url is a host of its own;
-repeated rows each get a row and don't count as distinct pages if their page_id
-is the same; an empty table gives no rows.
+(or main element) a block goes if all its words are in repeated runs that stand in
+half of the host's rows (``MANY`` at least) and the article has other blocks; what
+repeats less stays, as syndicated articles and quoted passages repeat too; menus,
+headers, footers, sidebars, notices, adverts, forms and comments go even where they
+stand on one page only. The array alone decides on unmarked blocks outside of
+articles, whether or not the page has an article.
+
+Defined cases: null html has an empty text; null urls, and urls without a host, are
+pages of one host; repeated rows each get a row and don't count as distinct pages
+if their page_id is the same; rows with a null page_id are the same page if url and
+html are; an empty table gives no rows; other columns than the three are left out.
 """
 
 from __future__ import annotations
@@ -40,10 +43,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import pieces
-from .storage import written
+from .storage import fresh, get, put, written
 
-SHARD, LONG, HOSTS = 256, 8, 10_000
-#: A block of an article is boilerplate if its words are on half of the host's pages, and on so many at least.
+SHARD, SHARD_BYTES, LONG = 4096, 1 << 23, 8
+#: Pages of a host whose minimizers meet in one task, and the share of all pages (1 in HOSTS) from which on a host may have several.
+PART, HOSTS = 16384, 10_000
+#: A block of an article is boilerplate if its words are on half of the host's rows, and on so many at least.
 MANY = 3
 
 # Names of HTML elements, and words of class, id and role by which sites mark what isn't text.
@@ -63,7 +68,7 @@ BEFORE = {"with", "has", "no", "without", "js", "is"}
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([A-Za-z][A-Za-z0-9:_-]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:_-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 PLAIN, MAIN, DROP = 0, 1, 2
 
@@ -195,180 +200,314 @@ def _skip(page: str, at: int, tag: str) -> int:
     return len(page)
 
 
-class Runs:
-    """The runs of ``long`` words of pages, by a suffix array; ``count`` is on how many distinct pages each start's run stands."""
-
-    def __init__(self, words: list[list[str]], pages: list, long: int = LONG):
-        self.long = long
-        self.size = np.array([len(w) for w in words], np.int64)
-        number: dict[str, int] = {}
-        self.n = n = int(self.size.sum()) + len(words)
-        stream = np.empty(n, np.int64)
-        self.ends = ends = np.cumsum(self.size + 1) - 1
-        flat = [number.setdefault(x, len(number)) for w in words for x in w]
-        body = np.ones(n, bool)
-        body[ends] = False
-        stream[body] = flat
-        stream[ends] = len(number) + np.arange(len(words))  # no run goes over a page's end
-        self.stream, self.words = stream, list(number)
-        owner = np.repeat(np.arange(len(words)), self.size + 1)
-        self.whole = np.arange(n) + long <= ends[owner]
-        _, page = np.unique(np.array([str(p) for p in pages]), return_inverse=True)
-        # Prefix doubling: a suffix's rank by its first 2k words is that of the pair of ranks by k words.
-        rank, depth = stream, 1
-        while depth < long:
-            step = min(depth, long - depth)
-            after = np.full(n, -1, np.int64)
-            after[: max(0, n - step)] = rank[step:]
-            pair = rank * (n + 2) + after + 1
-            order = np.argsort(pair, kind="stable")
-            ordered = pair[order]
-            fresh = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-            rank = np.empty(n, np.int64)
-            rank[order] = fresh
+PRIME, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Bits of a minimizer that shards exchange: more than these only chance makes equal, and that is looked into.
+BITS = 40
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * MIX
+    return x ^ (x >> np.uint64(29))
+
+
+def _hashes(strings: list[str]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter((xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), 42) for s in strings), np.uint64, len(strings))
+
+
+class Shard:
+    """Pages of any hosts (columns page_id, url, key, host, text, kind, inside) as a stream of words."""
+
+    def __init__(self, pages: pa.Table, long: int = LONG):
+        self.pages, self.long = pages.combine_chunks(), long
+        text = self._column("text")
+        self.block_of = text.offsets.to_numpy()  # of each page, its first block
+        lists = pc.split_pattern(text.values, " ")
+        words = lists.flatten().dictionary_encode()
+        self.number, self.vocabulary = words.indices.to_numpy().astype(np.int64), words.dictionary
+        self.word_of = lists.offsets.to_numpy()  # of each block, its first word
+        self.begin = self.word_of[self.block_of]  # of each page
+        self.page = np.repeat(np.arange(len(pages)), np.diff(self.begin))
+        host = self._column("host").dictionary_encode()
+        self.hosts, self.host = host.dictionary.to_pylist(), host.indices.to_numpy().astype(np.int64)
+        self.key = self._column("key").to_numpy()
+        at = np.arange(len(self.number))
+        self.end = self.begin[1:][self.page]
+        self.starts = np.flatnonzero(at + long <= self.end)  # of runs
+
+    def _column(self, name: str) -> pa.Array:
+        column = self.pages[name]
+        return column.chunk(0) if column.num_chunks else pa.array([], column.type)
+
+    def counted(self, runs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each start its run's number; for each run its value, how many rows it stands on, and the least and greatest key of these."""
+        value, of = np.unique(runs, return_inverse=True)
+        order = np.argsort(of, kind="stable")
+        page = self.page[starts][order]
+        first = np.flatnonzero(np.diff(of[order], prepend=-1))
+        if not len(first):
+            return of, value, first, first, first
+        new = (np.diff(of[order], prepend=-1) != 0) | (np.diff(page, prepend=-1) != 0)
+        key = self.key[page]
+        return of, value, np.add.reduceat(new.astype(np.int64), first), np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
+
+    def repeats(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each run's start: rows of this shard that it stands on, and whether on distinct pages; by the suffix array."""
+        n, at = len(self.number), np.arange(len(self.number))
+        # Prefix doubling: a suffix's rank by its first 2k words is that of the pair of ranks by k words; no suffix goes over its page's end.
+        rank, depth = self.number + len(self.vocabulary) * self.host[self.page], 1
+        while depth < self.long:
+            step = min(depth, self.long - depth)
+            there = at + step < self.end
+            after = np.where(there, rank[np.where(there, at + step, 0)], -1) if n else rank
+            _, rank = np.unique(rank * (int(rank.max(initial=0)) + 2) + after + 1, return_inverse=True)
             depth += step
-        of = page[owner]
-        order = np.lexsort((of, rank))
-        new = np.concatenate([[True], (rank[order][1:] != rank[order][:-1]) | (of[order][1:] != of[order][:-1])])
-        _, group = np.unique(rank, return_inverse=True)
-        self.group = group
-        self.count = np.bincount(group[order][new])[group]
-
-    def hashes(self, starts: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the runs at these starts: a polynomial in the words' XXH64."""
-        import xxhash
-
-        of = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) for w in self.words], np.uint64)
-        out = np.zeros(len(starts), np.uint64)
-        for k in range(self.long):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + of[self.stream[starts + k]]
-        return out.view(np.int64)
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each run once: its hash and count."""
-        starts = np.flatnonzero(self.whole)
-        starts = starts[np.unique(self.group[starts], return_index=True)[1]]
-        return self.hashes(starts), self.count[starts]
-
-    def learn(self, run: np.ndarray, count: np.ndarray) -> None:
-        """Takes the counts over a whole host, by hash."""
-        starts = np.flatnonzero(self.whole)
-        if len(run) and len(starts):
-            order = np.argsort(run)
-            run, count = run[order], count[order]
-            mine = self.hashes(starts)
-            at = np.minimum(np.searchsorted(run, mine), len(run) - 1)
-            self.count[starts] = np.where(run[at] == mine, count[at], self.count[starts])
-
-    def covered(self, least: int = 2) -> list[np.ndarray]:
-        """For each page's words, which are in a run that stands on ``least`` distinct pages or more."""
-        starts = np.flatnonzero(self.whole & (self.count >= least))
-        cover = np.zeros(self.n + self.long + 1, np.int64)
-        np.add.at(cover, starts, 1)
-        np.add.at(cover, starts + self.long, -1)
-        found = np.cumsum(cover)[: self.n] > 0
-        return [found[e - s : e] for s, e in zip(self.size.tolist(), self.ends.tolist(), strict=True)]
-
-
-def page_words(parsed: list) -> list[list[str]]:
-    return [[w for text, *_ in b for w in text.split(" ")] for b in parsed]
-
-
-def main_texts(page_ids: list, pages: list[str], long: int = LONG, known: tuple[np.ndarray, np.ndarray] | None = None, of: int | None = None) -> list[str]:
-    """The main texts of pages of a host; if these aren't all of it, ``known`` has the hashes and counts of runs over the whole host, and ``of`` its number of pages."""
-    parsed = [blocks(p or "") for p in pages]
-    runs = Runs(page_words(parsed), page_ids, long)
-    if known is not None:
-        runs.learn(*known)
-    many = max(MANY, -(-(of or len(set(page_ids))) // 2))
-    out = []
-    for found, covered, common in zip(parsed, runs.covered(), runs.covered(many), strict=True):
-        size = np.array([text.count(" ") + 1 for text, *_ in found], np.int64)
-        start = np.cumsum(size) - size
-        within = [(a, n) for (_, kind, inside), a, n in zip(found, start.tolist(), size.tolist(), strict=True) if inside and kind != DROP]
-        # Where nothing else is in the article, the pages are copies of each other and it stays.
-        copies = all(common[a : a + n].all() for a, n in within)
-        kept = []
-        for (text, kind, inside), a, n in zip(found, start.tolist(), size.tolist(), strict=True):
-            boiler = covered[a : a + n]
-            if inside and not copies and common[a : a + n].all():
-                continue
-            if kind == DROP:
-                continue
-            if not inside and boiler.any():
-                text = " ".join(w for w, c in zip(text.split(" "), boiler.tolist(), strict=True) if not c)
-            if text:
-                kept.append(text)
-        out.append("\n".join(kept))
-    return out
-
-
-def host(url: str | None) -> str:
-    m = _SCHEME.match(url or "")
-    return m[1].lower() if m else ""
+        of, _, rows, low, high = self.counted(rank[self.starts], self.starts)
+        return rows[of], (low != high)[of]
+
+    def _grams(self, size: int, seed: int) -> np.ndarray:
+        """64-bit hashes of the host and ``size`` words from each place on: a polynomial in the words' XXH64."""
+        word = np.concatenate([_hashes(self.vocabulary.to_pylist())[self.number], np.zeros(size, np.uint64)])
+        out = (_hashes(self.hosts) ^ np.uint64(seed))[self.host][self.page]
+        for k in range(size):
+            out = out * PRIME + word[k : k + len(out)]
+        return _mixed(out)
+
+    def minimizers(self) -> np.ndarray:
+        """For each run's start, the least hash of its shorter runs, cut to ``BITS``."""
+        size = max(1, self.long - 3)
+        gram = self._grams(size, 1)
+        least = gram[self.starts]
+        for k in range(1, self.long - size + 1):
+            least = np.minimum(least, gram[self.starts + k])
+        return least >> np.uint64(64 - BITS)
+
+    def runs(self) -> np.ndarray:
+        """For each run's start, its hash."""
+        return self._grams(self.long, 2)[self.starts].view(np.int64)
+
+    def host_runs(self) -> np.ndarray:
+        """For each host, the hash that its number of rows goes by."""
+        return _mixed(_hashes(self.hosts) ^ np.uint64(3)).view(np.int64)
+
+    def covered(self, chosen: np.ndarray) -> np.ndarray:
+        """Which words are in the chosen ones of the runs."""
+        n = len(self.number)
+        edge = np.bincount(self.starts[chosen], minlength=n + 1) - np.bincount(self.starts[chosen] + self.long, minlength=n + 1)
+        return np.cumsum(edge)[:n] > 0
+
+    def texts(self, rows: np.ndarray, distinct: np.ndarray, host_rows: np.ndarray) -> list[str]:
+        """The pages' main texts; rows and distinct as of ``repeats`` and host_rows by host, over whole hosts."""
+        many = np.maximum(MANY, -(-host_rows // 2))[self.host][self.page[self.starts]]
+        boiler = self.covered(distinct)
+        upto = np.concatenate([[0], np.cumsum(self.covered(distinct & (rows >= many)))])
+        size = np.diff(self.word_of)
+        common = upto[self.word_of[1:]] - upto[self.word_of[:-1]] == size
+        upto = np.concatenate([[0], np.cumsum(boiler)])
+        touched = upto[self.word_of[1:]] > upto[self.word_of[:-1]]
+        text = self._column("text").values.to_pylist()
+        kind, inside = (self._column(c).values.to_numpy(zero_copy_only=False) for c in ("kind", "inside"))
+        within = inside & (kind != DROP)
+        out = []
+        for a, b in zip(self.block_of[:-1].tolist(), self.block_of[1:].tolist(), strict=True):
+            # Where nothing else is in the article, the pages are copies of each other and it stays.
+            copies = bool(common[a:b][within[a:b]].all())
+            kept = []
+            for i in range(a, b):
+                if kind[i] == DROP or inside[i] and common[i] and not copies:
+                    continue
+                block = text[i]
+                if touched[i] and not inside[i]:
+                    block = " ".join(w for w, c in zip(block.split(" "), boiler[self.word_of[i] : self.word_of[i + 1]].tolist(), strict=True) if not c)
+                if block:
+                    kept.append(block)
+            out.append("\n".join(kept))
+        return out
+
+
+def parsed(pages: list[str | None]) -> dict[str, pa.Array]:
+    """Columns text, kind and inside: each page's blocks."""
+    found = [blocks(p or "") for p in pages]
+    kinds = (("text", pa.string()), ("kind", pa.int8()), ("inside", pa.bool_()))
+    return {name: pa.array([[x[i] for x in b] for b in found], pa.list_(t)) for i, (name, t) in enumerate(kinds)}
+
+
+def main_texts(page_ids: list, pages: list[str | None], long: int = LONG) -> list[str]:
+    """The main texts of a whole host's pages, in one shard."""
+    _, key = np.unique([str(p) for p in page_ids], return_inverse=True)
+    shard = Shard(pa.table({"key": pa.array(key, pa.int64()), "host": pa.array([""] * len(pages)), **parsed(pages)}), long)
+    return shard.texts(*shard.repeats(), np.array([len(pages)]))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Ascending numbers of ``BITS`` bits: differences, byte plane by byte plane, compressed."""
+    import zstandard as z
+
+    planes = np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : BITS // 8].T
+    return z.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    import zstandard as z
+
+    planes = np.frombuffer(z.ZstdDecompressor().decompress(blob), np.uint8).reshape(BITS // 8, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, : BITS // 8] = planes.T
+    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
+
+
+def _ipc(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+SHARDS = "shard long, prints array<struct<host: string, part: int, minimizers: binary>>, hosts array<struct<run: long, count: long>>"
+COUNTS = "shard long, run long, count long, low long, high long"
+
+
+def _at(folder: str, shard: int) -> str:
+    return f"{folder}/shard-{shard:016x}"
+
+
+def _load(folder: str, shard: int, long: int) -> tuple[Shard, pa.Table]:
+    """A shard, and its own counts (count, distinct) for each of its runs."""
+    blob = get(_at(folder, shard))
+    size = int.from_bytes(blob[:8], "little")
+    return Shard(pa.ipc.open_stream(blob[8 : 8 + size]).read_all(), long), pa.ipc.open_stream(blob[8 + size :]).read_all()
+
+
+def _store(folder: str, no: int, held: list[pa.RecordBatch], long: int) -> pa.RecordBatch:
+    """Parses pages and writes them with the shard's own counts; gives its row of ``SHARDS``."""
+    table = pa.Table.from_batches(held)
+    pages = table.select(["page_id", "url", "key", "host"])
+    for name, column in parsed(table["html"].to_pylist()).items():
+        pages = pages.append_column(name, column)
+    shard = Shard(pages, long)
+    rows, distinct = shard.repeats()
+    first = _ipc(pages)
+    put(_at(folder, no), [len(first).to_bytes(8, "little"), first, _ipc(pa.table({"count": pa.array(rows), "distinct": pa.array(distinct)}))])
+    parts = np.ones(len(shard.hosts), np.uint64)
+    parts[shard.host] = table["parts"].to_numpy()
+    least, of = shard.minimizers(), shard.host[shard.page[shard.starts]]
+    order = np.lexsort((least, of))
+    least, of = least[order], of[order]
+    new = (np.diff(of, prepend=-1) != 0) | (np.diff(least, prepend=np.uint64(0)) != 0)
+    least, of = least[new], of[new]
+    part = (least * parts[of]) >> np.uint64(BITS)
+    cut = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(part.astype(np.int64), prepend=-1) != 0))
+    prints = [{"host": shard.hosts[of[a]], "part": int(part[a]), "minimizers": _packed(least[a:b])} for a, b in zip(cut.tolist(), np.append(cut, len(of))[1:].tolist(), strict=True)]
+    hosts = [{"run": r, "count": n} for r, n in zip(shard.host_runs().tolist(), np.bincount(shard.host, minlength=len(shard.hosts)).tolist(), strict=True)]
+    kinds = [pa.list_(pa.struct([("host", pa.string()), ("part", pa.int32()), ("minimizers", pa.binary())])), pa.list_(pa.struct([("run", pa.int64()), ("count", pa.int64())]))]
+    return pa.RecordBatch.from_arrays([pa.array([no]), pa.array([prints], kinds[0]), pa.array([hosts], kinds[1])], names=["shard", "prints", "hosts"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by key."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = list(zip(*(batch[k].to_pylist() for k in key), strict=True))
+        a = 0
+        while a < len(keys):
+            b = a + 1
+            while b < len(keys) and keys[b] == keys[a]:
+                b += 1
+            if held and keys[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = keys[a]
+            held.append(batch.slice(a, b - a))
+            a = b
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each shard of a host's part, the minimizers that other shards have too."""
+    for table in _groups(batches, "host", "part"):
+        if len(table) < 2:
+            continue
+        lists = [_unpacked(b) for b in table["minimizers"].to_pylist()]
+        value, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        order = np.argsort(value, kind="stable")
+        same = np.diff(value[order]) == 0
+        found = order[np.append(same, False) | np.append(False, same)]
+        found = found[np.argsort(of[found], kind="stable")]  # by shard, each shard's still ascending
+        shards, cut = table["shard"].to_pylist(), np.flatnonzero(np.diff(of[found], prepend=-1)).tolist()
+        out = [(shards[of[found[a]]], _packed(value[found[a:b]])) for a, b in zip(cut, [*cut[1:], len(found)], strict=True)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["shard", "minimizers"])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", shard: int = SHARD, long: int = LONG) -> DataFrame:
     """One row per row: page_id, url, text, n_chars."""
-    rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), pages[html].alias("html"))
-    rows = rows.withColumn("host", F.coalesce(F.lower(F.regexp_extract(F.col("url"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit("")))
+    spark = pages.sparkSession
+    folder = fresh(spark, "html-pages")
+    rows = pages.select(pages[page_id].alias("page_id"), pages[url].cast("string").alias("url"), pages[html].cast("string").alias("html"))
+    rows = rows.withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", _SCHEME, 1)), F.lit(""))).withColumn("key", F.when(F.col("page_id").isNull(), F.xxhash64("url", "html")).otherwise(F.xxhash64("page_id")))
     total = pages.count()
     # At most HOSTS hosts hold more than one in HOSTS of the pages: what is broadcast has that bound.
-    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.coalesce(F.col("page_id").cast("string"), F.lit("None"))).alias("of")).where(F.col("n") > max(shard, total // HOSTS)).select(F.col("host").alias("large"), "of", F.ceil(F.col("n") / shard).cast("int").alias("salts"))
-    large = written(large, "html-large")
-    salted = rows.join(F.broadcast(large), F.col("host") == F.col("large"), "left").withColumn("salt", F.when(F.col("salts").isNull(), -1).otherwise(F.pmod(F.xxhash64("page_id"), F.col("salts")).cast("int")))
-    dealt = salted.select("page_id", "url", "html", "host", "salt", "of", F.lit(None).cast("long").alias("run"), F.lit(None).cast("long").alias("count"))
-    if not large.isEmpty():
-        # Runs of the shards of large hosts, counted over the host, go back to the shards that have them.
-        found = written(_by_shard(dealt.where("salt >= 0"), RUNS, lambda table: _shard_runs(table, long)), "html-runs")
-        whole = found.groupBy("host", "run").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("shards")).where("shards > 1").select(F.col("host").alias("h"), F.col("run").alias("r"), "total")
-        back = found.join(whole, (F.col("host") == F.col("h")) & (F.col("run") == F.col("r")))
-        none = lambda c: F.lit(None).cast(dealt.schema[c].dataType).alias(c)
-        dealt = dealt.union(back.select(none("page_id"), none("url"), none("html"), "host", "salt", none("of"), "run", F.col("total").alias("count")))
-    schema = T.StructType([dealt.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-
-    def texts(table: pa.Table) -> pa.RecordBatch:
-        is_run = pc.is_valid(table["run"])
-        runs, table = table.filter(is_run), table.filter(pc.invert(is_run))
-        text = main_texts(table["page_id"].to_pylist(), table["html"].to_pylist(), long, (runs["run"].to_numpy(), runs["count"].to_numpy()), table["of"][0].as_py())
-        return pa.RecordBatch.from_arrays([table["page_id"].combine_chunks(), table["url"].combine_chunks(), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=schema.names)
-
-    return _by_shard(dealt, schema, texts)
+    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(PART, total // HOSTS)).select(F.col("host").alias("large"), F.ceil(F.col("n") / PART).cast("long").alias("parts"))
+    dealt = rows.join(F.broadcast(written(large, "html-large")), F.col("host") == F.col("large"), "left").select("page_id", "url", "html", "host", "key", F.coalesce("parts", F.lit(1).cast("long")).alias("parts"), F.spark_partition_id().alias("partition"))
 
-
-RUNS = "host string, salt int, run long, count long"
-
-
-def _shard_runs(table: pa.Table, long: int) -> pa.RecordBatch:
-    runs = Runs(page_words([blocks(p or "") for p in table["html"].to_pylist()]), table["page_id"].to_pylist(), long)
-    run, count = runs.distinct()
-    of = pa.array(np.zeros(len(run), np.int64))
-    return pa.RecordBatch.from_arrays([table["host"].combine_chunks().take(of), table["salt"].combine_chunks().take(of), pa.array(run), pa.array(count.astype(np.int64))], names=["host", "salt", "run", "count"])
-
-
-def _by_shard(dealt: DataFrame, schema, call) -> DataFrame:
-    """Applies ``call`` to the rows of each shard: of each (host, salt)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        key = None
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, size, no = [], 0, 0, 0
         for batch in pieces(batches, "html"):
-            keys = list(zip(batch["host"].to_pylist(), batch["salt"].to_pylist(), strict=True))
-            a = 0
-            while a < len(keys):
-                b = a
-                while b < len(keys) and keys[b] == keys[a]:
-                    b += 1
-                if held and keys[a] != key:
-                    yield call(pa.Table.from_batches(held))
-                    held.clear()
-                key = keys[a]
-                held.append(batch.slice(a, b - a))
-                a = b
+            for a in range(0, len(batch), shard):
+                part = batch.slice(a, shard)
+                if held and (n + len(part) > shard or size >= SHARD_BYTES):
+                    yield _store(folder, number + no, held, long)
+                    held, n, size, no = [], 0, 0, no + 1
+                if not held:
+                    number = part["partition"][0].as_py() << 32
+                held.append(part)
+                n += len(part)
+                size += pc.sum(pc.binary_length(part["html"])).as_py() or 0
         if held:
-            yield call(pa.Table.from_batches(held))
-
-    return dealt.repartition("host", "salt").sortWithinPartitions("host", "salt", "page_id").mapInArrow(run, schema)
+            yield _store(folder, number + no, held, long)
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "shard"):
+            no = table["shard"][0].as_py()
+            shared = np.unique(np.concatenate([_unpacked(b) for b in table["minimizers"].to_pylist()]))
+            own, _ = _load(folder, no, long)
+            least = own.minimizers()
+            chosen = shared[np.minimum(np.searchsorted(shared, least), len(shared) - 1)] == least
+            _, run, count, low, high = own.counted(own.runs()[chosen], own.starts[chosen])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(run), no)), *map(pa.array, (run, count, low, high))], names=["shard", "run", "count", "low", "high"])
+
+    shards = written(dealt.mapInArrow(first, SHARDS), "html-shards")
+    prints = shards.select("shard", F.explode("prints").alias("p")).select("shard", "p.*")
+    met = prints.repartition("host", "part").sortWithinPartitions("host", "part").mapInArrow(_shared, "shard long, minimizers binary")
+    runs = met.repartition("shard").sortWithinPartitions("shard").mapInArrow(candidates, COUNTS)
+    none = F.lit(None).cast("long")
+    counts = written(runs.union(shards.select("shard", F.explode("hosts").alias("h")).select("shard", "h.run", "h.count", none, none)), "html-runs")
+    whole = counts.groupBy("run").agg(F.sum("count").alias("total"), (F.min("low") != F.max("high")).alias("distinct"), F.count(F.lit(1)).alias("shards"))
+    # What stands in one shard only is known there; a host's rows (without low) go back always, so every shard has a row.
+    whole = whole.where("shards > 1 or distinct is null").select(F.col("run").alias("r"), "total", "distinct")
+    back = counts.select("shard", "run").join(whole, F.col("run") == F.col("r")).select("shard", "run", "total", "distinct")
+    schema = T.StructType([rows.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "shard"):
+            own, counted = _load(folder, table["shard"][0].as_py(), long)
+            table = table.sort_by("run")
+            run, total = table["run"].to_numpy(), table["total"].to_numpy()
+            repeated = table["distinct"].fill_null(False).to_numpy()
+            rows, distinct = counted["count"].to_numpy().copy(), counted["distinct"].to_numpy().copy()
+            mine = own.runs()
+            at = np.minimum(np.searchsorted(run, mine), len(run) - 1)
+            known = run[at] == mine
+            rows[known], distinct[known] = total[at[known]], repeated[at[known]]
+            text = own.texts(rows, distinct, total[np.searchsorted(run, own.host_runs())])
+            for a in range(0, len(text), 512):
+                b = pa.array(text[a : a + 512], pa.string())
+                yield pa.RecordBatch.from_arrays([*(own._column(c).slice(a, 512) for c in ("page_id", "url")), b, pc.utf8_length(b).cast(pa.int64())], names=schema.names)
+
+    return back.repartition("shard").sortWithinPartitions("shard").mapInArrow(last, schema)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
