@@ -285,11 +285,7 @@ class Shard:
 
     def runs(self) -> np.ndarray:
         """For each run's start, its hash."""
-        return self._grams(self.long, 2)[self.starts].view(np.int64)
-
-    def host_runs(self) -> np.ndarray:
-        """For each host, the hash that its number of rows goes by."""
-        return _mixed(_hashes(self.hosts) ^ np.uint64(3)).view(np.int64)
+        return self._grams(self.long, 2)[self.starts]
 
     def covered(self, chosen: np.ndarray) -> np.ndarray:
         """Which words are in the chosen ones of the runs."""
@@ -340,32 +336,38 @@ def main_texts(page_ids: list, pages: list[str | None], long: int = LONG) -> lis
     return shard.texts(*shard.repeats(), np.array([len(pages)]))
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Ascending numbers of ``BITS`` bits: differences, byte plane by byte plane, compressed."""
+def _packed(*columns: np.ndarray) -> bytes:
+    """64-bit numbers, the first column ascending: byte plane by byte plane, compressed."""
     import zstandard as z
 
-    planes = np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : BITS // 8].T
-    return z.ZstdCompressor(level=1).compress(planes.tobytes())
+    columns = [c.astype("<u8") for c in columns]
+    wide = np.stack([np.diff(columns[0], prepend=np.uint64(0)), *columns[1:]])
+    return z.ZstdCompressor(level=3).compress(wide.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes())
 
 
-def _unpacked(blob: bytes) -> np.ndarray:
+def _unpacked(blob: bytes, columns: int = 1) -> np.ndarray:
     import zstandard as z
 
-    planes = np.frombuffer(z.ZstdDecompressor().decompress(blob), np.uint8).reshape(BITS // 8, -1)
-    wide = np.zeros((planes.shape[1], 8), np.uint8)
-    wide[:, : BITS // 8] = planes.T
-    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
+    planes = np.frombuffer(z.ZstdDecompressor().decompress(blob), np.uint8).reshape(columns, 8, -1)
+    wide = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u8")[..., 0]
+    return np.concatenate([np.cumsum(wide[:1], axis=1, dtype=np.uint64), wide[1:]])
 
 
 def _ipc(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
         w.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
-SHARDS = "shard long, prints array<struct<host: string, part: int, minimizers: binary>>, hosts array<struct<run: long, count: long>>"
-COUNTS = "shard long, run long, count long, low long, high long"
+#: What goes to a host's parts and back to its shards; part 0 of each host carries the host's rows, and there is a row of it for every shard.
+NOTES = "host string, part long, parts long, shard long, rows long, first binary, second binary"
+NOTE = pa.schema([("host", pa.string()), *[(n, pa.int64()) for n in ("part", "parts", "shard", "rows")], ("first", pa.binary()), ("second", pa.binary())])
+
+
+def _notes(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(NOTE)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, NOTE, strict=True)], schema=NOTE)
 
 
 def _at(folder: str, shard: int) -> str:
@@ -380,7 +382,7 @@ def _load(folder: str, shard: int, long: int) -> tuple[Shard, pa.Table]:
 
 
 def _store(folder: str, no: int, held: list[pa.RecordBatch], long: int) -> pa.RecordBatch:
-    """Parses pages and writes them with the shard's own counts; gives its row of ``SHARDS``."""
+    """Parses pages and writes them with the shard's own counts; notes: its minimizers by host and part."""
     table = pa.Table.from_batches(held)
     pages = table.select(["page_id", "url", "key", "host"])
     for name, column in parsed(table["html"].to_pylist()).items():
@@ -389,19 +391,28 @@ def _store(folder: str, no: int, held: list[pa.RecordBatch], long: int) -> pa.Re
     rows, distinct = shard.repeats()
     first = _ipc(pages)
     put(_at(folder, no), [len(first).to_bytes(8, "little"), first, _ipc(pa.table({"count": pa.array(rows), "distinct": pa.array(distinct)}))])
-    parts = np.ones(len(shard.hosts), np.uint64)
+    parts = np.ones(len(shard.hosts), np.int64)
     parts[shard.host] = table["parts"].to_numpy()
     least, of = shard.minimizers(), shard.host[shard.page[shard.starts]]
     order = np.lexsort((least, of))
     least, of = least[order], of[order]
     new = (np.diff(of, prepend=-1) != 0) | (np.diff(least, prepend=np.uint64(0)) != 0)
     least, of = least[new], of[new]
-    part = (least * parts[of]) >> np.uint64(BITS)
-    cut = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(part.astype(np.int64), prepend=-1) != 0))
-    prints = [{"host": shard.hosts[of[a]], "part": int(part[a]), "minimizers": _packed(least[a:b])} for a, b in zip(cut.tolist(), np.append(cut, len(of))[1:].tolist(), strict=True)]
-    hosts = [{"run": r, "count": n} for r, n in zip(shard.host_runs().tolist(), np.bincount(shard.host, minlength=len(shard.hosts)).tolist(), strict=True)]
-    kinds = [pa.list_(pa.struct([("host", pa.string()), ("part", pa.int32()), ("minimizers", pa.binary())])), pa.list_(pa.struct([("run", pa.int64()), ("count", pa.int64())]))]
-    return pa.RecordBatch.from_arrays([pa.array([no]), pa.array([prints], kinds[0]), pa.array([hosts], kinds[1])], names=["shard", "prints", "hosts"])
+    n = np.bincount(shard.host, minlength=len(shard.hosts)).tolist()
+    return _notes([(shard.hosts[h], part, int(parts[h]), no, n[h] if part == 0 else None, _packed(least[a:b]) if b > a else None, None) for h, part, a, b in _dealt(of, least, parts)])
+
+
+def _dealt(of: np.ndarray, value: np.ndarray, parts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(host, part, first, last) of each host's parts of values of ``BITS`` bits, in order of host and value; part 0 always."""
+    part = ((value * parts.astype(np.uint64)[of]) >> np.uint64(BITS)).astype(np.int64)
+    cut = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+    there = set()
+    for a, b in zip(cut.tolist(), np.append(cut, len(of))[1:].tolist(), strict=True):
+        if not part[a]:
+            there.add(int(of[a]))
+        yield int(of[a]), int(part[a]), a, b
+    for h in sorted({*range(len(parts))} - there):
+        yield h, 0, 0, 0
 
 
 def _groups(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[pa.Table]:
@@ -425,21 +436,86 @@ def _groups(batches: Iterator[pa.RecordBatch], *key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _split(of: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value of an ascending array, and where it is."""
+    cut = np.flatnonzero(np.diff(of, prepend=-1))
+    for a, b in zip(cut.tolist(), np.append(cut, len(of))[1:].tolist(), strict=True):
+        yield int(of[a]), slice(a, b)
+
+
+def _answers(table: pa.Table, found: dict[int, tuple[bytes, bytes | None]], rows) -> pa.RecordBatch:
+    """What goes back from a part: to each shard what was found; from part 0 the host's rows too."""
+    host, part, parts = (table[c][0].as_py() for c in ("host", "part", "parts"))
+    return _notes([(host, part, parts, shard, rows, *found.get(i, (None, None))) for i, shard in enumerate(table["shard"].to_pylist()) if part == 0 or i in found])
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each shard of a host's part, the minimizers that other shards have too."""
     for table in _groups(batches, "host", "part"):
-        if len(table) < 2:
-            continue
-        lists = [_unpacked(b) for b in table["minimizers"].to_pylist()]
+        lists = [_unpacked(b)[0] if b else np.empty(0, np.uint64) for b in table["first"].to_pylist()]
         value, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         order = np.argsort(value, kind="stable")
         same = np.diff(value[order]) == 0
-        found = order[np.append(same, False) | np.append(False, same)]
+        found = order[np.append(same, False) | np.append(False, same)] if len(order) else order
         found = found[np.argsort(of[found], kind="stable")]  # by shard, each shard's still ascending
-        shards, cut = table["shard"].to_pylist(), np.flatnonzero(np.diff(of[found], prepend=-1)).tolist()
-        out = [(shards[of[found[a]]], _packed(value[found[a:b]])) for a, b in zip(cut, [*cut[1:], len(found)], strict=True)]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["shard", "minimizers"])
+        yield _answers(table, {i: (_packed(value[found][at]), None) for i, at in _split(of[found])}, pc.sum(table["rows"]).as_py())
+
+
+def _candidates(folder: str, long: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's runs that may stand in other shards: hash and count, and the least and greatest key of their pages."""
+    for table in _groups(batches, "shard"):
+        no = table["shard"][0].as_py()
+        own, _ = _load(folder, no, long)
+        shared = np.unique(np.concatenate([np.empty(0, np.uint64), *(_unpacked(b)[0] for b in table["first"].to_pylist() if b)]))
+        least = own.minimizers()
+        chosen = shared[np.minimum(np.searchsorted(shared, least), len(shared) - 1)] == least if len(shared) else np.zeros(len(least), bool)
+        # A run's hash is cut by host and value as the minimizers were.
+        starts, runs = own.starts[chosen], own.runs()[chosen]
+        of, run, count, low, high = own.counted(runs, starts)
+        host = np.empty(len(run), np.int64)
+        host[of] = own.host[own.page[starts]]
+        order = np.lexsort((run, host))
+        run, count, low, high, host = run[order], count[order], low[order], high[order], host[order]
+        parts, rows = np.ones(len(own.hosts), np.int64), [None] * len(own.hosts)
+        number = {h: i for i, h in enumerate(own.hosts)}
+        for h, n, r in zip(table["host"].to_pylist(), table["parts"].to_pylist(), table["rows"].to_pylist(), strict=True):
+            parts[number[h]], rows[number[h]] = n, r if r is not None else rows[number[h]]
+        out = []
+        for h, part, a, b in _dealt(host, run >> np.uint64(64 - BITS), parts):
+            first = second = None
+            if b > a:
+                keys = np.unique(np.concatenate([low[a:b], high[a:b]]))
+                lows, highs = np.searchsorted(keys, low[a:b]), np.searchsorted(keys, high[a:b])
+                first, second = _packed(run[a:b], count[a:b], lows, highs - lows), _packed(keys)
+            out.append((own.hosts[h], part, int(parts[h]), no, rows[h] if part == 0 else None, first, second))
+        yield _notes(out)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each shard of a host's part, its runs that stand in other shards too, their counts over all, and whether on distinct pages."""
+    for table in _groups(batches, "host", "part"):
+        lists, keys = [], []
+        for a, b in zip(table["first"].to_pylist(), table["second"].to_pylist(), strict=True):
+            one = _unpacked(a, 4) if a else np.empty((4, 0), np.uint64)
+            key = _unpacked(b)[0].view(np.int64) if b else np.empty(0, np.int64)
+            lists.append(one)
+            keys.append((key[one[2]], key[one[2] + one[3]]))
+        run, count = (np.concatenate([x[i] for x in lists]) for i in (0, 1))
+        low, high = (np.concatenate([x[i] for x in keys]) for i in (0, 1))
+        of = np.repeat(np.arange(len(lists)), [x.shape[1] for x in lists])
+        found: dict = {}
+        if len(run):
+            order = np.argsort(run, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(run[order]) != 0))
+            size = np.diff(np.append(first, len(run)))
+            total = np.repeat(np.add.reduceat(count[order], first), size)
+            distinct = np.repeat(np.minimum.reduceat(low[order], first) != np.maximum.reduceat(high[order], first), size)
+            many = np.repeat(size > 1, size)
+            order, total, distinct = order[many], total[many], distinct[many]
+            back = np.argsort(of[order], kind="stable")
+            order, total, distinct = order[back], total[back], distinct[back].astype(np.uint64)
+            found = {i: (_packed(run[order][at], total[at], distinct[at]), None) for i, at in _split(of[order])}
+        yield _answers(table, found, pc.sum(table["rows"]).as_py() if table["part"][0].as_py() else table["rows"][0].as_py())
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", shard: int = SHARD, long: int = LONG) -> DataFrame:
@@ -469,45 +545,32 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         if held:
             yield _store(folder, number + no, held, long)
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, "shard"):
-            no = table["shard"][0].as_py()
-            shared = np.unique(np.concatenate([_unpacked(b) for b in table["minimizers"].to_pylist()]))
-            own, _ = _load(folder, no, long)
-            least = own.minimizers()
-            chosen = shared[np.minimum(np.searchsorted(shared, least), len(shared) - 1)] == least
-            _, run, count, low, high = own.counted(own.runs()[chosen], own.starts[chosen])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(run), no)), *map(pa.array, (run, count, low, high))], names=["shard", "run", "count", "low", "high"])
-
-    shards = written(dealt.mapInArrow(first, SHARDS), "html-shards")
-    prints = shards.select("shard", F.explode("prints").alias("p")).select("shard", "p.*")
-    met = prints.repartition("host", "part").sortWithinPartitions("host", "part").mapInArrow(_shared, "shard long, minimizers binary")
-    runs = met.repartition("shard").sortWithinPartitions("shard").mapInArrow(candidates, COUNTS)
-    none = F.lit(None).cast("long")
-    counts = written(runs.union(shards.select("shard", F.explode("hosts").alias("h")).select("shard", "h.run", "h.count", none, none)), "html-runs")
-    whole = counts.groupBy("run").agg(F.sum("count").alias("total"), (F.min("low") != F.max("high")).alias("distinct"), F.count(F.lit(1)).alias("shards"))
-    # What stands in one shard only is known there; a host's rows (without low) go back always, so every shard has a row.
-    whole = whole.where("shards > 1 or distinct is null").select(F.col("run").alias("r"), "total", "distinct")
-    back = counts.select("shard", "run").join(whole, F.col("run") == F.col("r")).select("shard", "run", "total", "distinct")
+    to_parts = lambda df: df.repartition("host", "part").sortWithinPartitions("host", "part")
+    to_shards = lambda df: df.repartition("shard").sortWithinPartitions("shard")
+    shared = to_parts(dealt.mapInArrow(first, NOTES)).mapInArrow(_shared, NOTES)
+    runs = to_shards(shared).mapInArrow(lambda batches: _candidates(folder, long, batches), NOTES)
+    back = to_shards(to_parts(runs).mapInArrow(_added, NOTES))
     schema = T.StructType([rows.schema["page_id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "shard"):
             own, counted = _load(folder, table["shard"][0].as_py(), long)
-            table = table.sort_by("run")
-            run, total = table["run"].to_numpy(), table["total"].to_numpy()
-            repeated = table["distinct"].fill_null(False).to_numpy()
+            run, total, distinct_ = np.concatenate([np.empty((3, 0), np.uint64), *(_unpacked(b, 3) for b in table["first"].to_pylist() if b)], axis=1)
+            order = np.argsort(run)
+            run, total, distinct_ = run[order], total[order], distinct_[order]
             rows, distinct = counted["count"].to_numpy().copy(), counted["distinct"].to_numpy().copy()
-            mine = own.runs()
-            at = np.minimum(np.searchsorted(run, mine), len(run) - 1)
-            known = run[at] == mine
-            rows[known], distinct[known] = total[at[known]], repeated[at[known]]
-            text = own.texts(rows, distinct, total[np.searchsorted(run, own.host_runs())])
+            if len(run):
+                mine = own.runs()
+                at = np.minimum(np.searchsorted(run, mine), len(run) - 1)
+                known = run[at] == mine
+                rows[known], distinct[known] = total[at[known]], distinct_[at[known]]
+            of = {h: n for h, n in zip(table["host"].to_pylist(), table["rows"].to_pylist(), strict=True) if n is not None}
+            text = own.texts(rows, distinct, np.array([of[h] for h in own.hosts], np.int64))
             for a in range(0, len(text), 512):
                 b = pa.array(text[a : a + 512], pa.string())
                 yield pa.RecordBatch.from_arrays([*(own._column(c).slice(a, 512) for c in ("page_id", "url")), b, pc.utf8_length(b).cast(pa.int64())], names=schema.names)
 
-    return back.repartition("shard").sortWithinPartitions("shard").mapInArrow(last, schema)
+    return back.mapInArrow(last, schema)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
