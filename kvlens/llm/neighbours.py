@@ -10,7 +10,8 @@ closer than the worst neighbour one of them has is offered to that one. Rounds
 end when less than ``ENOUGH`` of the edges are new.
 
 A search runs for all queries at once. A query's beam holds its ``beam`` nearest
-nodes so far; each hop joins the unexpanded ones with their neighbour lists,
+nodes so far; each hop joins the nearest of the unexpanded ones (one in ``FRONT``
+of the beam, as later finds may push the others out) with their neighbour lists,
 leaves out what the query has seen, scores the rest and keeps the best. It ends
 when no query has anything left to expand. The beam is then scored exactly. It
 grows with the square root of the number of nodes, and is ``BEAM`` at least.
@@ -40,7 +41,7 @@ from .storage import discard, written
 
 TREES, LEAF, BLOCK = 4, 1024, 1 << 16
 DEGREE, ENOUGH = 24, 0.01
-BEAM, WIDER = 208, 2.5
+BEAM, WIDER, FRONT = 208, 2.5, 4
 #: Guards against a fault only: a graph or search that isn't settled after so many raises.
 ROUNDS, MAX_HOPS = 40, 200
 EDGES = "node long, nbr long, sim float, new boolean"
@@ -252,18 +253,19 @@ def width(nodes: int) -> int:
 
 def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = BEAM) -> DataFrame:
     """Greedy search from each query node (column q): its beam as rows (q, node)."""
-    STATE = "q long, node long, sim float, open boolean"
+    STATE = "q long, node long, sim float, open boolean, next boolean"
+    front_size = max(1, -(-beam // FRONT))
     own = written(queries.select("q").distinct().join(units, F.col("q") == F.col("node")).select("q", "unit"), "ann-queries")
-    state = written(own.select("q", F.col("q").alias("node"), F.lit(2.0).cast("float").alias("sim"), F.lit(True).alias("open")), "ann-beam")
+    state = written(own.select("q", F.col("q").alias("node"), F.lit(2.0).cast("float").alias("sim"), F.lit(True).alias("open"), F.lit(True).alias("next")), "ann-beam")
     seen = [written(state.select("q", "node"), "ann-seen")]
 
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, "q"):
             q, node, sim, open_, kind = _columns(table, ("q", "node", "sim", "open", "kind"))
-            units_, kinds = table["unit"], kind.tolist()
+            units_ = table["unit"]
             sim, open_ = sim.copy(), open_.copy()
             start = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])).tolist()
-            keep = []
+            keep, next_ = [], []
             for a, b in zip(start, [*start[1:], len(q)], strict=True):
                 k = kind[a:b]
                 new = a + np.flatnonzero(k == 2)
@@ -273,12 +275,13 @@ def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = B
                 there = a + np.flatnonzero(k != 0)
                 order = there[np.lexsort((node[there], -sim[there]))]
                 keep.append(order[:beam])
+                left = open_[keep[-1]]
+                next_.append(left & (np.cumsum(left) <= front_size))
             at = np.concatenate(keep)
-            del kinds
-            yield pa.RecordBatch.from_arrays([pa.array(q[at]), pa.array(node[at]), pa.array(sim[at]), pa.array(open_[at])], names=["q", "node", "sim", "open"])
+            yield pa.RecordBatch.from_arrays([pa.array(q[at]), pa.array(node[at]), pa.array(sim[at]), pa.array(open_[at]), pa.array(np.concatenate(next_))], names=["q", "node", "sim", "open", "next"])
 
     for _ in range(MAX_HOPS):
-        front = state.where("open").select("q", F.col("node").alias("from"))
+        front = state.where("next").select("q", F.col("node").alias("from"))
         raw = front.join(lists, F.col("from") == F.col("node")).select("q", F.explode("nbrs").alias("node")).distinct()
         before = seen[0]
         for s in seen[1:]:
@@ -286,7 +289,7 @@ def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = B
         fresh = written(raw.join(before.select(F.col("q").alias("sq"), F.col("node").alias("sn")), (F.col("q") == F.col("sq")) & (F.col("node") == F.col("sn")), "left_anti"), "ann-seen")
         seen.append(fresh)
         none, no = F.lit(None).cast("binary"), F.lit(False)
-        rows = state.select("q", "node", "sim", no.alias("open"), F.lit(1).alias("kind"), none.alias("unit"))
+        rows = state.select("q", "node", "sim", (F.col("open") & ~F.col("next")).alias("open"), F.lit(1).alias("kind"), none.alias("unit"))
         rows = rows.union(own.select("q", F.lit(-1).cast("long"), F.lit(0).cast("float"), no, F.lit(0), "unit"))
         rows = rows.union(fresh.withColumnRenamed("node", "n").join(units, F.col("n") == F.col("node")).select("q", "node", F.lit(0).cast("float"), F.lit(True), F.lit(2), "unit"))
         after = written(rows.repartition("q").sortWithinPartitions("q").mapInArrow(advance, STATE), "ann-beam")
