@@ -8,10 +8,13 @@ over the rows' totals, as any associative scan. The state before each character
 tells whether a match of the pattern starts there.
 
 The slices found feed pair merging: unseen ones are merged together, one lowest
-leftmost pair of each per round, and kept in a bounded cache. Offsets of slices
-and ids are retained, so that ids decode to the bytes of each text.
+leftmost pair of each per round (those of over ``SHORT_SLICE`` characters alone, by a
+heap), and kept in a bounded cache. Beside its ids a text keeps their offsets: the
+byte at which each id starts. Decoding writes each id's bytes at its offset, so any
+range of ids decodes alone, and an id that doesn't fill its place is an error.
 
-Defined cases: null and empty texts have no ids; repeated rows each get a row.
+Defined cases: null and empty texts have no ids; repeated rows each get a row;
+null ids decode to no bytes.
 """
 
 from __future__ import annotations
@@ -19,14 +22,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrow import with_columns
+from .arrow import pieces, with_columns
 
 # The characters of the pattern's white space (Unicode White_Space).
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -43,6 +48,8 @@ LETTER, NUMBER, OTHER, SPACE, WHITES, APOS1, APOS2, END, SPACE_X, WHITES_X = ran
 # LEFT1, LEFT2: so many letters of a contraction are to come; CUT: a contraction has ended.
 START, IN_L, IN_N, IN_O, IN_W, GLUE, LEFT1, LEFT2, CUT = range(9)
 STATES = 9
+#: Longer slices than these characters are merged alone.
+SHORT_SLICE = 256
 
 
 def _step(state: int, symbol: int) -> tuple[int, bool]:
@@ -182,10 +189,15 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bytes = {i: b for b, i in self.ranks.items()}
+        # All ids' bytes end to end, and where each has its own.
+        self.length = np.zeros(max(self.ranks.values(), default=-1) + 1, np.int64)
+        by_id = sorted((i, b) for b, i in self.ranks.items())
+        self.length[[i for i, _ in by_id]] = [len(b) for _, b in by_id]
+        self.begin, self.flat = np.cumsum(self.length) - self.length, np.frombuffer(b"".join(b for _, b in by_id), np.uint8)
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         pairs = [(self.ranks[b[:i]], self.ranks[b[i:]], r) for b, r in self.ranks.items() for i in range(1, len(b)) if b[:i] in self.ranks and b[i:] in self.ranks]
         left, right, rank = np.array(pairs, np.int64).reshape(-1, 3).T
+        self.pairs = {(a, b): r for a, b, r in pairs}
         self.shift = max(16, int(max(self.ranks.values(), default=0)).bit_length())
         key = left << self.shift | right
         # Open addressing: slots are filled in rounds, each row at the first free slot after its own.
@@ -219,6 +231,34 @@ class Vocabulary:
                 break
         return out
 
+    def merge_long(self, raw: bytes) -> bytes:
+        """As ``merge`` for one slice, by a heap of pairs over a linked list: in proportion to its length but for a logarithm."""
+        none = np.iinfo(np.int64).max
+        ids = self.single[np.frombuffer(raw, np.uint8)]
+        rank = self.merged(ids[:-1], ids[1:])
+        at = np.flatnonzero(rank != none)
+        heap = list(zip(rank[at].tolist(), at.tolist(), strict=True))
+        heapify(heap)
+        ids, n = ids.tolist(), len(ids)
+        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray([1]) * n
+        pairs = self.pairs
+        while heap:
+            r, i = heappop(heap)
+            j = after[i]
+            # A pair that has changed since is out of date: what it is now has an entry of its own.
+            if not alive[i] or j == n or pairs.get((ids[i], ids[j])) != r:
+                continue
+            ids[i], alive[j] = r, 0
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (x := pairs.get((r, ids[k]))) is not None:
+                    heappush(heap, (x, i))
+            h = before[i]
+            if h >= 0 and (x := pairs.get((ids[h], r))) is not None:
+                heappush(heap, (x, h))
+        return np.array([x for x, on in zip(ids, alive, strict=True) if on], "<u4").tobytes()
+
     def merge(self, slices: list[bytes]) -> list[bytes]:
         """Each slice's ids (little-endian unsigned 32-bit): the lowest, leftmost pair of each merges until none does."""
         none = np.iinfo(np.int64).max
@@ -291,9 +331,12 @@ class Encoder:
         words = [joined[a:b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
         cache = self.cache
         new = list(set(words).difference(cache.keys()))
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
+        short = [w for w in new if len(w) <= SHORT_SLICE]
+        for a in range(0, len(short), 20_000):
+            part = short[a : a + 20_000]
             cache.update(zip(part, self.vocabulary.merge([w.encode("utf-8", "surrogatepass") for w in part]), strict=True))
+        if len(short) < len(new):
+            cache.update((w, self.vocabulary.merge_long(w.encode("utf-8", "surrogatepass"))) for w in new if len(w) > SHORT_SLICE)
         found = list(map(cache.__getitem__, words))
         full = len(cache) > self.limit  # what came first stays: common slices come early
         for w in new:
@@ -302,8 +345,19 @@ class Encoder:
         cut = upto.tolist()
         return [b"".join(found[a:b]) for a, b in zip([0, *cut[:-1]], cut, strict=True)], start
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.vocabulary.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def offsets(self, ids: bytes) -> np.ndarray:
+        """The byte at which each id starts, and the end of the last."""
+        return np.concatenate([[0], np.cumsum(self.vocabulary.length[np.frombuffer(ids, "<u4")])])
+
+    def decode(self, ids: bytes, offsets: np.ndarray, first: int = 0, last: int | None = None) -> bytes:
+        """The bytes of the ids from ``first`` up to ``last``, each laid at its offset."""
+        vocabulary, at = self.vocabulary, offsets[first : None if last is None else last + 1]
+        number = np.frombuffer(ids, "<u4")[first:last]
+        size = vocabulary.length[number]
+        if len(at) != len(number) + 1 or (np.diff(at) != size).any():
+            raise ValueError("the offsets aren't those of the ids")
+        start = at[:-1] - at[0]
+        return vocabulary.flat[np.repeat(vocabulary.begin[number] - start, size) + np.arange(int(at[-1] - at[0]))].tobytes()
 
 
 @lru_cache(2)
@@ -313,23 +367,33 @@ def encoder(path: str) -> Encoder:
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """df's ``keep`` columns (default: all) with ``ids``: binary, little-endian unsigned 32-bit."""
+    """df's ``keep`` columns (default: all) with ``ids`` (binary, little-endian unsigned 32-bit) and ``offsets`` (each id's first byte, and the end)."""
 
     def make():
         e = encoder(path)
-        return lambda rows: [pa.array(e.encode(rows)[0], pa.binary())]
 
-    return with_columns(df, text, [T.StructField("ids", T.BinaryType())], make, keep)
+        def call(rows: list[str]) -> list:
+            ids, _ = e.encode(rows)
+            return [pa.array(ids, pa.binary()), pa.array([e.offsets(x) for x in ids], pa.list_(pa.int64()))]
 
+        return call
 
-def decode(df: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """df's ``keep`` columns with ``decoded``: the bytes that the ids stand for."""
+    return with_columns(df, text, [T.StructField("ids", T.BinaryType()), T.StructField("offsets", T.ArrayType(T.LongType()))], make, keep)
 
-    def make():
+
+def decode(df: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
+    """df's ``keep`` columns (default: all) with ``decoded``: the bytes that columns ``ids`` and ``offsets`` stand for."""
+    kept = [c for c in (df.columns if keep is None else keep) if c != "decoded"]
+    source = df.select(*[df[c] for c in dict.fromkeys([*kept, "ids", "offsets"])])
+    schema = T.StructType([*[source.schema[c] for c in kept], T.StructField("decoded", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        return lambda rows: [pa.array([e.decode(x or b"") for x in rows], pa.binary())]
+        for piece in pieces(batches, "ids"):
+            out = [e.decode(i or b"", np.array(at if at else [0], np.int64)) for i, at in zip(piece["ids"].to_pylist(), piece["offsets"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[piece[c] for c in kept], pa.array(out, pa.binary())], names=schema.names)
 
-    return with_columns(df, ids, [T.StructField("decoded", T.BinaryType())], make, keep)
+    return source.mapInArrow(run, schema)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
@@ -343,7 +407,7 @@ def op4(spark, sf_dir: str) -> DataFrame:
 
         def call(rows: list[str]) -> list:
             ids, _ = e.encode(rows)
-            return [[len(x) // 4 for x in ids], [hashlib.sha256(x).hexdigest() for x in ids], [hashlib.sha256(e.decode(x)).hexdigest() for x in ids]]
+            return [[len(x) // 4 for x in ids], [hashlib.sha256(x).hexdigest() for x in ids], [hashlib.sha256(e.decode(x, e.offsets(x))).hexdigest() for x in ids]]
 
         return call
 
