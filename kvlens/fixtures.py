@@ -116,3 +116,24 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of streams: key, ms, no, seq, kind."""
     return table(spark, sf_dir, "events").select(F.concat(F.lit("stream:"), F.col("user_id").cast("string")).alias("key"), F.expr(f"{_US} div 1000").alias("ms"), F.lit(0).cast("long").alias("no"), F.col("event_id").alias("seq"), F.col("event_type").alias("kind"))
+
+
+def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records with several pairs, keys and options: seq, opcode, cmd, args."""
+    e = table(spark, sf_dir, "events")
+    user, item, k, kind = F.col("user_id").cast("string"), F.col("event_id").cast("string"), F.get_json_object("props", "$.k"), F.col("event_type")
+    of = lambda name, n=user: F.concat(F.lit(name + ":"), n)
+    value, lit = F.format_string("%f", "value"), F.lit
+    fifth = F.col("event_id") % 5
+    string = F.when(fifth == 0, F.array(of("h"), item)).when(fifth == 1, F.array(of("s"), value, lit("EX"), lit("60"))).when(fifth == 2, F.array(of("s"), value, lit("NX"), lit("PXAT"), item)).when(fifth == 3, F.array(of("s"), value, lit("keepttl"))).otherwise(F.array(of("s"), value))
+    args = F.when(kind == "click", F.array(of("h"), k, value, lit("n"), item, k, lit("again"))).when(kind == "view", string)
+    args = args.when(kind == "purchase", F.array(of("h"), of("h", (F.col("user_id") + 1).cast("string")))).when(kind == "signup", F.array(of("z"), lit("CH"), lit("gt"), value, k, item, lit("b")))
+    return e.select(F.col("event_id").alias("seq"), lit("COMMAND").alias("opcode"), F.when(kind == "click", "HSET").when(kind == "view", "SET").when(kind == "signup", "ZADD").otherwise("DEL").alias("cmd"), args.otherwise(F.array(of("z"), of("s"))).alias("args"))
+
+
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a keyspace held before the journal: strings user:N and hash fields cart:N: key, field (null for a string), value."""
+    c = table(spark, sf_dir, "customer")
+    named = lambda kind: F.concat(F.lit(kind), F.col("c_custkey").cast("string")).alias("key")
+    fields = F.explode(F.array(F.struct(F.lit("seg").alias("field"), F.col("c_mktsegment").alias("value")), F.struct(F.lit("a").alias("field"), F.col("c_name").alias("value")))).alias("p")
+    return c.select(named("user:"), F.lit(None).cast("string").alias("field"), F.col("c_name").alias("value")).union(c.select(named("cart:"), fields).select("key", "p.field", "p.value"))

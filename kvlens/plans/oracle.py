@@ -96,6 +96,8 @@ ORACLES = {
     "check_outline": _check(False, "", True),
     "check_outline_as_built": _check(False, "", False),
     "check_length": _check(True, "", True),
+    "check_length_as_built": _check(False, "true", False),
+    "check_smart_as_built": _check(False, "", False),
     "check_smart": _check(True, "len1 <= 10", True),
     "check_full": _check(True, "true", True),
     **{f"check_full_{k}": _full_of(k) for k in ("string", "hash", "list", "set", "zset", "stream")},
@@ -130,6 +132,10 @@ ORACLES = {
     "ack_counter": _with(JOURNAL, "numbered as (select *, row_number() over (partition by flow order by seq) as rn from journal)") + "select flow, seq, rn + greatest(0, coalesce(max(lsn - rn) over (partition by flow order by seq), 0)) as ack from numbered",
     "batch_assignment": _with(JOURNAL) + "select flow, seq, (row_number() over (partition by flow order by seq) - 1) // 500 as batch from journal",
     "materialize_lww": _with(JOURNAL, STATE) + "select l.key, l.field, l.value, l.seq from last l left join cut c on l.key = c.key where l.seq is not null and (c.cut is null or l.seq > c.cut)",
+    "materialize_snapshot_journal": _with(JOURNAL, STATE, """old as (select 'user:' || c_custkey as key, '' as field, c_name as value from customer
+  union all select 'cart:' || c_custkey, 'seg', c_mktsegment from customer union all select 'cart:' || c_custkey, 'a', c_name from customer),
+new as (select l.key, l.field, l.value, l.seq from last l left join cut c on l.key = c.key where l.seq is not null and (c.cut is null or l.seq > c.cut))""") + """select * from new
+  union all select o.key, o.field, o.value, -1 from old o anti join cut using (key) where not exists (from new n where n.key = o.key and n.field = o.field)""",
     "qps_sliding": _with(SAMPLES) + "select id, flow, (sum(n) over w)::bigint as ops, us - min(us) over w as span_us from samples window w as (partition by flow order by us range between 3599999999 preceding and current row)",
     "latency_percentiles": _with(SAMPLES) + f"select flow, {', '.join(_percent(p) for p in (50, 95, 99))}, max(latency) as max_latency, count(*) as samples from samples group by flow",
     "history_last_n": _with(SAMPLES) + "select id, flow, rank from (select *, row_number() over (partition by flow order by us desc, id desc) as rank from samples) where rank <= 100",

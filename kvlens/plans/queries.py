@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixtures import AS_OF_MS, damaged, journal, keyspace, samples, table
+from ..fixtures import AS_OF_MS, damaged, journal, keyspace, samples, snapshot, table
 from ..functions.slots import slot
 from ..operators import changes, checks, routing, telemetry
 from . import replication
@@ -70,6 +70,8 @@ QUERIES = {
     "check_outline": _check("outline"),
     "check_outline_as_built": _check("outline", as_built=True),
     "check_length": _check("length"),
+    "check_length_as_built": _check("length", as_built=True),
+    "check_smart_as_built": _check("smart", as_built=True),
     "check_smart": _check("smart"),
     "check_full": _check("full"),
     **{f"check_full_{k}": _check("full", kind=k) for k in ("string", "hash", "list", "set", "zset", "stream")},
@@ -104,6 +106,7 @@ QUERIES = {
     "ack_counter": _log(changes.acks),
     "batch_assignment": _log(changes.batches),
     "materialize_lww": _log(changes.current),
+    "materialize_snapshot_journal": lambda spark, d: changes.current(journal(spark, d), snapshot(spark, d)),
     "qps_sliding": _sample(telemetry.qps),
     "latency_percentiles": _sample(telemetry.percentiles),
     "history_last_n": _sample(lambda s: telemetry.last_n(s, 100).select("id", "flow", "rank")),

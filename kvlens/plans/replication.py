@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..fixtures import AS_OF_MS, NODES, collections, damaged, entries, epoch_us, journal, journal_of, keyspace, samples, table
+from ..fixtures import AS_OF_MS, NODES, collections, commands, damaged, entries, epoch_us, journal, journal_of, keyspace, samples, table
 from ..functions.slots import slot
 from ..operators import changes, checks, decode, routing, telemetry, writer
 from ..operators import collections as coll
@@ -145,12 +145,6 @@ def _deltas(e: DataFrame) -> DataFrame:
     return coll.stream_ids(moved.join(first, F.col("key") == F.col("k")))
 
 
-def _writes(j: DataFrame) -> DataFrame:
-    live, hashed = changes.classified(j).where("class = 'apply' and size(args) > 0"), F.col("cmd") == "HSET"
-    value = F.when(hashed, F.get("args", F.lit(2))).when(F.col("cmd") == "SET", F.get("args", F.lit(1)))
-    return live.select(F.get("args", F.lit(0)).alias("key"), F.when(hashed, F.get("args", F.lit(1))).otherwise("").alias("field"), "seq", value.alias("value"), (F.col("cmd") == "DEL").alias("gone"))
-
-
 def _events(spark, d, files: int = 1000) -> DataFrame:
     return streams.source(spark, d, "events", files)
 
@@ -224,10 +218,14 @@ QUERIES = {
     "replay_zadd": _of(collections, coll.sorted_sets),
     "replay_del": _of(collections, coll.deleted),
     "replay_expire": _of(collections, lambda c: coll.expiries(c, AS_OF_MS)),
+    "replay_several_fields": _of(commands, changes.current),
+    "replay_several_keys": _of(commands, coll.deleted),
+    "replay_several_scores": _of(commands, coll.sorted_sets),
+    "replay_set_times": _of(commands, lambda c: coll.expiries(c, AS_OF_MS)),
     "replay_stream": _of(entries, lambda e: e.groupBy("key").agg(_n("length"), F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"))),
     "stream_trim_maxlen": _of(entries, lambda e: coll.trim_maxlen(e, 50)),
     "stream_trim_minid": _of(entries, lambda e: coll.trim_minid(e, AS_OF_MS)),
-    "stream_replay_lww": lambda spark, d: streams.last_writes(_writes(journal_of(_events(spark, d)))),
+    "stream_replay_lww": lambda spark, d: streams.last_writes(changes.writes(journal_of(_events(spark, d)))),
     "stream_window_counts": lambda spark, d: streams.window_counts(_timed(_events(spark, d)), "event_type"),
     "stream_ack_counter": lambda spark, d: streams.acks(journal_of(_events(spark, d)).select("flow", "seq", "lsn")),
     "stream_dedup": _twice,
@@ -255,6 +253,9 @@ def sql() -> dict[str, str]:
     ent = "entry as (select 'stream:' || user_id as key, epoch_us(ts) // 1000 as ms, 0::bigint as no, event_id as seq, event_type as kind from events)"
     perc = ", ".join(_percent(p) for p in (50, 95, 99)) + ", max(latency) as max_latency"
     writes = ORACLES["materialize_lww"]
+    several = """ev as (select event_id as seq, user_id as u, event_type as t, printf('%.6f', value) as val, json_extract_string(props, '$.k') as k from events),
+dels as (select 'h:' || u as key, seq from ev where t = 'purchase' union all select 'h:' || (u + 1), seq from ev where t = 'purchase' union all select unnest(['z:' || u, 's:' || u]), seq from ev where t not in ('click', 'view', 'purchase', 'signup')),
+gone as (select key, max(seq) as cut from dels group by key)"""
     topology = "values ('a1', '10.0.0.1:6379', 'myself,master', null, 0::bigint, 5460::bigint), ('a2', '10.0.0.2:6379', 'master', null, 5461, 10922), ('a2', '10.0.0.2:6379', 'master', null, 16000, 16000), ('a3', '10.0.0.3:6379', 'master', null, 10923, 15999), ('a3', '10.0.0.3:6379', 'master', null, 16001, 16383), ('a4', '10.0.0.4:6379', 'slave', 'a1', null, null)"
     return {
         "inline_journal_ops": _with(JOURNAL) + "select flow, seq // 8 as blob, row_number() over (partition by flow, seq // 8 order by seq) - 1 as at, seq, opcode from journal",
@@ -306,11 +307,22 @@ def sql() -> dict[str, str]:
         "cross_slot_commands": f"select seq, slot1, slot2 from (select event_id as seq, {_slot('k1')} as slot1, {_slot('k2')} as slot2 from (select event_id, case when event_id % 3 = 0 then '{{' || user_id || '}}' else user_id::varchar end || ':a' as k1, case when event_id % 3 = 0 then '{{' || user_id || '}}' else user_id::varchar end || ':b' as k2 from events)) where slot1 <> slot2".replace("'{{'", "'{'").replace("'}}'", "'}'"),
         "replay_set": f"select key, value, seq from ({writes}) where field = ''",
         "replay_hset": f"select * from ({writes}) where field <> ''",
-        "replay_push": _with(log) + "select key, case t when 'click' then seq * 4096 else -(seq * 4096) end as pos, seq::varchar as item from alive where t in ('click', 'view') union all select key, -(seq * 4096 + 1), k from alive where t = 'view'",
+        "replay_push": _with(log) + "select key, case t when 'click' then seq * 1048576 else -(seq * 1048576) end as pos, seq::varchar as item from alive where t in ('click', 'view') union all select key, -(seq * 1048576 + 1), k from alive where t = 'view'",
         "replay_sadd": _with(log) + "select distinct key, k as member from alive where t = 'purchase'",
         "replay_zadd": _with(log) + "select key, k as member, printf('%.6f', arg_max(value, seq))::double as score from alive where t = 'signup' group by all",
         "replay_del": _with(log, "last as (select key as lk, max(seq) as last from (select key, seq from clog union all select 'set:' || u, seq from clog where seq % 4 = 1) group by 1)") + "select ck as key, cut from cuts join last on ck = lk where cut = last",
         "replay_expire": _with(log) + f"select key, ms as expire_ms, ms < {AS_OF_MS} as expired from (select 'set:' || u as key, arg_max({AS_OF_MS} + (seq % 200 - 100) * 60000, seq) as ms from clog left join cuts on ck = 'set:' || u where seq % 4 = 1 and (cut is null or seq > cut) group by 1)",
+        "replay_several_fields": _with(several) + """, hw as (select * from (select 'h:' || u as key, f, v, seq from ev, lateral (values (k, 'again'), ('n', seq::varchar)) p(f, v) where t = 'click') union all
+  select 'h:' || u, '', seq::varchar, seq from ev where t = 'view' and seq % 5 = 0 union all select 's:' || u, '', val, seq from ev where t = 'view' and seq % 5 <> 0),
+  top as (select key, f, arg_max(v, seq) as value, max(seq) as s from hw group by all),
+  other as (select key, max(seq) filter (f = '') as str, max(seq) filter (f <> '') as hash from hw group by key)
+  select key, f as field, value, s as seq from top join other using (key) left join gone using (key) where s > coalesce(cut, -1) and s > coalesce(case when f = '' then hash else str end, -1)""",
+        "replay_several_keys": _with(several) + """, alln as (select key, cut as seq from gone union all select case when t = 'click' or seq % 5 = 0 and t = 'view' then 'h:' when t = 'view' then 's:' else 'z:' end || u, seq from ev where t in ('click', 'view', 'signup'))
+  select key, max(cut) as cut from gone join (select key, max(seq) as last from alln group by key) using (key) where cut = last group by key""",
+        "replay_several_scores": _with(several) + """, zw as (select 'z:' || u as key, m, sc, seq, i from ev, lateral (values (k, val, 0), ('b', seq::varchar, 1)) p(m, sc, i) where t = 'signup')
+  select key, m as member, arg_max(sc, (seq, i))::double as score from zw left join gone using (key) where seq > coalesce(cut, -1) group by all""",
+        "replay_set_times": _with(several) + f""", st as (select 's:' || u as key, seq, case seq % 5 when 1 then {AS_OF_MS} + 60000 when 2 then seq end as until from ev where t = 'view' and seq % 5 in (1, 2, 4) union all select 'h:' || u, seq, null from ev where t = 'view' and seq % 5 = 0)
+  select key, until as expire_ms, until < {AS_OF_MS} as expired from (select key, unnest(max(struct_pack(seq := seq, until := coalesce(until, -1)))) from st left join gone using (key) where seq > coalesce(cut, -1) group by key) where until >= 0""",
         "replay_stream": _with(ent) + "select key, count(*) as length, min(ms) as first_ms, max(ms) as last_ms from entry group by key",
         "stream_trim_maxlen": _with(ent) + "select key, ms, no, seq, kind from (select *, row_number() over (partition by key order by ms desc, no desc) as r from entry) where r <= 50",
         "stream_trim_minid": _with(ent) + f"select * from entry where ms >= {AS_OF_MS}",

@@ -28,15 +28,18 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def source(spark: SparkSession, folder: str, name: str, files_per_trigger: int = 1000) -> DataFrame:
-    """A stream of the Parquet files of a table."""
-    file = f"{name}.parquet"
-    schema = spark.read.parquet(f"{folder}/{file}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    """A stream of the Parquet files of a table: of one file, or of a folder of files."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    # As a pattern the path may be a file as well as a folder.
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{folder}/{name}.parque[t]")
 
 
-def drained(stream: DataFrame, name: str, mode: str) -> DataFrame:
-    """Runs a stream over all that is there; returns what each batch gave, with its number in ``batch``."""
-    spark, at = stream.sparkSession, _folder(stream.sparkSession, name)
+def drained(stream: DataFrame, name: str, mode: str, at: str | None = None) -> DataFrame:
+    """Runs a stream over all that is there; returns what each batch gave, with its number in ``batch``.
+
+    ``at`` is the folder of its offsets, state and output: a later run with the same one goes on from there.
+    """
+    spark, at = stream.sparkSession, at or _folder(stream.sparkSession, name)
 
     def put(df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{at}/out/batch={batch}")
@@ -44,13 +47,15 @@ def drained(stream: DataFrame, name: str, mode: str) -> DataFrame:
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).foreachBatch(put).start()
     query.awaitTermination()
     schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).option("basePath", f"{at}/out").parquet(f"{at}/out") if query.lastProgress else spark.createDataFrame([], schema)
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/out")
+    there = found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+    return spark.read.schema(schema).option("basePath", f"{at}/out").parquet(f"{at}/out") if there else spark.createDataFrame([], schema)
 
 
-def last_writes(writes: DataFrame) -> DataFrame:
-    """Stream of (key, field, seq, value, gone) to the state after it: a later DEL of a key removes its fields."""
-    each = writes.groupBy("key", "field").agg(F.max(F.struct("seq", "value", "gone")).alias("w"), F.max(F.when(F.col("gone"), F.col("seq"))).alias("cut"))
-    state = drained(each, "stream-lww", "update").groupBy("key", "field").agg(F.max("w").alias("w"), F.max("cut").alias("cut"))
+def last_writes(writes: DataFrame, at: str | None = None) -> DataFrame:
+    """Stream of (key, field, seq, at, value, gone) to the state after it: a later DEL of a key removes its fields."""
+    each = writes.groupBy("key", "field").agg(F.max(F.struct("seq", "at", "value", "gone")).alias("w"), F.max(F.when(F.col("gone"), F.col("seq"))).alias("cut"))
+    state = drained(each, "stream-lww", "update", at).groupBy("key", "field").agg(F.max("w").alias("w"), F.max("cut").alias("cut"))
     cuts = state.where("cut is not null").groupBy(F.col("key").alias("k")).agg(F.max("cut").alias("c"))
     return state.join(cuts, F.col("key") == F.col("k"), "left").where("not w.gone and (c is null or w.seq > c)").select("key", "field", F.col("w.value").alias("value"), F.col("w.seq").alias("seq"))
 
@@ -62,7 +67,7 @@ def window_counts(events: DataFrame, by: str, size: str = "1 hour", late: str =
     return found.groupBy("start_us", by).agg(F.max("n").alias("n"))
 
 
-def acks(journal: DataFrame) -> DataFrame:
+def acks(journal: DataFrame, at: str | None = None) -> DataFrame:
     """flow, entries, ack after a stream of (flow, seq, lsn): an LSN record jumps ahead if it is greater, any other adds 1."""
 
     def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -75,7 +80,7 @@ def acks(journal: DataFrame) -> DataFrame:
         yield pd.DataFrame({"flow": [key[0]], "entries": [entries], "ack": [entries + ahead]})
 
     found = journal.groupBy("flow").applyInPandasWithState(fold, "flow long, entries long, ack long", "entries long, ahead long", "update", GroupStateTimeout.NoTimeout)
-    return drained(found, "stream-acks", "update").groupBy("flow").agg(F.max("entries").alias("entries"), F.max_by("ack", "entries").alias("ack"))
+    return drained(found, "stream-acks", "update", at).groupBy("flow").agg(F.max("entries").alias("entries"), F.max_by("ack", "entries").alias("ack"))
 
 
 def once(rows: DataFrame, keys: list[str], late: str = "1 hour") -> DataFrame:
