@@ -21,10 +21,13 @@ largest counts; without a toxic and a clean training row every score is 0.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -337,8 +340,13 @@ def fit(documents: DataFrame, labels: DataFrame, positives: int = POSITIVES, neg
     field = documents.schema["doc_id"]
     small = spark.createDataFrame(chosen, T.StructType([T.StructField("d", field.dataType), T.StructField("toxic", T.LongType())]))
     rows = documents.select("doc_id", "text").join(F.broadcast(small), F.col("doc_id") == F.col("d")).select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
-    rows = sorted(map(tuple, rows.collect()))
-    return train([r[2] for r in rows], [r[1] for r in rows])
+    # One task trains on the sample, which has a bound; only the network comes to the driver.
+    return pickle.loads(rows.repartition(1).mapInArrow(_trained, "net binary").first()[0])
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted(r for b in batches for r in zip(*(b[c].to_pylist() for c in ("doc_id", "toxic", "text")), strict=True))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train([r[2] for r in rows], [r[1] for r in rows]))], pa.binary())], names=["net"])
 
 
 def score(df: DataFrame, net: Network | None, text: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
