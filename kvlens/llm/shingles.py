@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .arrow import pieces, with_columns
 from .components import components
 from .simhash import _blocks, hashed, links, majority
-from .storage import written
+from .storage import bucketed, discard, freed, written
 
 SAMPLE, FREQUENT = 20_000, 100_000
 
@@ -136,6 +136,7 @@ def linked(sets: DataFrame, max_bits: int = 4, bucket_limit: int = 4096) -> Data
     entries = written(prefixes(sets), "shingles-prefixes")
     counts = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("sig", "n")).alias("first")).where("c > 1").select(F.col("token").alias("t"), "first")
     shared = written(entries.join(counts, F.col("token") == F.col("t")).drop("t"), "shingles-shared")
+    freed(sets.sparkSession, entries)
     sizes = lambda x, y: (5 * x >= 4 * y) & (5 * y >= 4 * x)
     star = shared.where(sizes(F.col("n"), F.col("first.n"))).select(F.col("sig").alias("u"), F.col("first.sig").alias("v"))
     pairs = written(close.union(same).union(star).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "shingles-pairs")
@@ -144,22 +145,29 @@ def linked(sets: DataFrame, max_bits: int = 4, bucket_limit: int = 4096) -> Data
     root = written(components(found), "shingles-roots")
     placed = shared.drop("first").join(root, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "at", F.coalesce("root", "sig").alias("root"))
     placed = written(placed, "shingles-placed")
+    discard(shared)
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(F.col("token").alias("t"))
     open_ = written(placed.join(mixed, F.col("token") == F.col("t")).drop("t"), "shingles-open")
+    freed(sets.sparkSession, placed)
     x, y = open_.alias("x"), open_.alias("y")
     # The first common shingle of two sets leaves so many at most; a linked pair passes at that one.
     left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     passes = (F.col("x.sig") < F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & sizes(F.col("x.n"), F.col("y.n")) & (9 * left >= 4 * (F.col("x.n") + F.col("y.n")))
     rest = x.join(y, (F.col("x.token") == F.col("y.token")) & passes).select(F.col("x.sig").alias("u"), F.col("y.sig").alias("v")).distinct()
     rest = written(rest.join(pairs, ["u", "v"], "left_anti"), "shingles-pairs")
-    return components(found.union(verified(rest, sets)))
+    more = written(verified(rest, sets), "shingles-links")
+    freed(sets.sparkSession, open_, rest, pairs)
+    return components(found.union(more))
 
 
 def near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
     """One row per row of df: doc_id, sig, and component_id and component_sig (those of the least doc_id of its near copies, null last)."""
-    rows = written(with_set(df, text, words, [doc_id]).withColumnRenamed(doc_id, "doc_id"), "shingles-rows")
-    sets = written(rows.dropDuplicates(["sig"]).select("sig", "fp", "n", "shingles"), "shingles-sets")
+    rows = written(with_set(df, text, words, [doc_id], False).withColumnRenamed(doc_id, "doc_id"), "shingles-rows")
+    # Whole sets are hashed again, so that they are written once: distinct, and where joins on them find them.
+    sets = bucketed(with_set(df, text, words, []).dropDuplicates(["sig"]), "shingles-sets", "sig")
+    freed(df.sparkSession)
     root = written(linked(sets), "shingles-roots")
+    freed(df.sparkSession, sets)
     named = rows.select("doc_id", "sig").join(root, F.col("sig") == F.col("node"), "left").select("doc_id", "sig", F.coalesce("root", "sig").alias("root"))
     named = written(named, "shingles-named")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("least")

@@ -7,6 +7,7 @@ Executors reach it by ``pyarrow.fs``, which opens file, hdfs, s3 and gs paths.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -37,6 +38,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``written``, dealt and sorted by key: joins on it don't move these rows again. ``freed`` also drops its table."""
+    spark = df.sparkSession
+    path, table = fresh(spark, name), f"kvlens_{uuid.uuid4().hex}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortBy(key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.written_at, out.written_as = path, table
+    return out
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
@@ -49,6 +60,16 @@ def discard(*frames: DataFrame) -> None:
         remove(df.sparkSession, df.written_at)
 
 
+def freed(spark: SparkSession, *frames: DataFrame) -> None:
+    """Discards frames, and lets the driver free the shuffle files that nothing refers to any more."""
+    discard(*frames)
+    for df in frames:
+        if hasattr(df, "written_as"):
+            spark.sql(f"drop table {df.written_as}")
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def put(uri: str, blocks) -> int:
     """Writes byte blocks to uri: under another name first, so that a lost or repeated task leaves whole files only."""
     from pyarrow import fs
