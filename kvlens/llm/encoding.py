@@ -31,7 +31,7 @@ SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
 #: Stands between chunks; a text that holds it is a chunk of its own.
 CUT = "\ufdd0"
 #: Bytes of text cut and put together at a time.
-PIECE = 1 << 22
+PIECE = 1 << 21
 _POINTS = r"[^\pL\pN][.,]"
 
 
@@ -57,7 +57,7 @@ def split_bytes(texts: pa.Array) -> pa.ListArray:
 class ChunkEncoder:
     """Encodes texts to ids of ``dtype``; keeps the ids of at most ``cache`` chunks of up to 64 characters."""
 
-    def __init__(self, path: str, kind: str, dtype: str = "<u4", cache: int = 1_200_000):
+    def __init__(self, path: str, kind: str, dtype: str = "<u4", cache: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.limit = Tokenizer.from_file(path), np.dtype(dtype), cache
