@@ -1,6 +1,6 @@
 """Near copies by the share of common shingles: SimHash candidates and an exact prefix join.
 
-A text is the set of its shingles' XXH64 (those of its fingerprint). Two texts are
+A text is the set of its shingles' XXH64, cut to 48 bits. Two texts are
 linked if their sets' Jaccard similarity is 4/5 or more; every link is verified on
 the whole sets. Work is on distinct sets, so exact copies cost nothing.
 
@@ -34,6 +34,8 @@ from .simhash import _blocks, hashed, links, majority
 from .storage import bucketed, discard, freed, written
 
 SAMPLE, FREQUENT = 20_000, 100_000
+#: Bytes of a shingle's hash.
+WIDTH = 6
 
 
 def needed(n):
@@ -41,6 +43,18 @@ def needed(n):
     return (4 * n + 4) // 5
 
 
+def _raw(hashes: np.ndarray) -> bytes:
+    """A text's set: the distinct upper 48 bits of its hashes, ascending, six bytes each."""
+    return np.unique(hashes >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
+
+
+def _set(raw) -> np.ndarray:
+    narrow = np.frombuffer(raw, np.uint8).reshape(-1, WIDTH)
+    wide = np.zeros((len(narrow), 8), np.uint8)
+    wide[:, :WIDTH] = narrow
+    return wide.view("<u8").ravel()
+
+
 def with_set(df: DataFrame, text: str = "text", words: int = 5, keep: list[str] | None = None, whole: bool = True) -> DataFrame:
     """df with a long ``sig`` (the set's hash) and, if ``whole``, ``fp``, ``n`` and the sorted set as bytes."""
     import xxhash
@@ -52,11 +66,11 @@ def with_set(df: DataFrame, text: str = "text", words: int = 5, keep: list[str]
     def make():
         def call(rows: list[str]) -> list:
             every = [hashed(t, words) for t in rows]
-            sets = [np.unique(h).astype("<u8").tobytes() for h in every]
+            sets = [_raw(h) for h in every]
             sig = np.array([xxhash.xxh3_64_intdigest(s) for s in sets], np.uint64).view(np.int64)
             if not whole:
                 return [sig]
-            return [sig, np.array([majority(h) for h in every], np.uint64).view(np.int64), [len(s) // 8 for s in sets], sets]
+            return [sig, np.array([majority(h) for h in every], np.uint64).view(np.int64), [len(s) // WIDTH for s in sets], sets]
 
         return call
 
@@ -70,7 +84,7 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(iter([batch]), "shingles"):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(part["shingles"].to_pylist()), "<i8"))], names=["token"])
+                yield pa.RecordBatch.from_arrays([pa.array(_set(b"".join(part["shingles"].to_pylist())).view(np.int64))], names=["token"])
 
     counted = sets.where(F.pmod("sig", F.lit(step)) == 0).select("shingles").mapInArrow(run, "token long").groupBy("token").count().where("count > 1")
     found = counted.orderBy(F.desc("count"), "token").limit(FREQUENT).toArrow()
@@ -88,7 +102,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
             for part in pieces(iter([batch]), "shingles"):
                 tokens, of, at = [], [], []
                 for i, raw in enumerate(part["shingles"].to_pylist()):
-                    x = np.frombuffer(raw, "<u8")
+                    x = _set(raw)
                     if not len(x):
                         continue
                     rank = np.zeros(len(x), np.int64)
@@ -113,7 +127,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             good = []
             for a, b in zip(batch["a"], batch["b"], strict=True):
-                x, y = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
+                x, y = _set(a.as_buffer()), _set(b.as_buffer())
                 common = len(x) + len(y) - len(np.union1d(x, y))
                 good.append(5 * common >= 4 * (len(x) + len(y) - common) and common > 0)
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
