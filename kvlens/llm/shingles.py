@@ -88,6 +88,8 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     counted = sets.where(F.pmod("sig", F.lit(step)) == 0).select("shingles").mapInArrow(run, "token long").groupBy("token").count().where("count > 1")
     found = counted.orderBy(F.desc("count"), "token").limit(FREQUENT).toArrow()
+    del counted
+    freed(sets.sparkSession)
     token, count = found["token"].to_numpy().view(np.uint64), found["count"].to_numpy()
     order = np.argsort(token)
     return token[order], count[order]
@@ -148,16 +150,18 @@ def linked(sets: DataFrame, max_bits: int = 4, bucket_limit: int = 4096) -> Data
     same = sets.select("fp", "sig").join(prints.withColumnRenamed("fp", "f"), F.col("fp") == F.col("f")).select(F.col("sig").alias("u"), F.col("first").alias("v"))
 
     entries = written(prefixes(sets), "shingles-prefixes")
-    counts = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("sig", "n")).alias("first")).where("c > 1").select(F.col("token").alias("t"), "first")
+    # Counted by the token alone, so that no more than it crosses the network; sets are named once few entries are left.
+    counts = entries.groupBy("token").count().where("count > 1").select(F.col("token").alias("t"))
     shared = written(entries.join(counts, F.col("token") == F.col("t")).drop("t"), "shingles-shared")
     freed(sets.sparkSession, entries)
+    firsts = shared.groupBy("token").agg(F.min(F.struct("sig", "n")).alias("first")).select(F.col("token").alias("t"), "first")
     sizes = lambda x, y: (5 * x >= 4 * y) & (5 * y >= 4 * x)
-    star = shared.where(sizes(F.col("n"), F.col("first.n"))).select(F.col("sig").alias("u"), F.col("first.sig").alias("v"))
+    star = shared.join(firsts, F.col("token") == F.col("t")).where(sizes(F.col("n"), F.col("first.n"))).select(F.col("sig").alias("u"), F.col("first.sig").alias("v"))
     pairs = written(close.union(same).union(star).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "shingles-pairs")
     found = written(verified(pairs, sets), "shingles-links")
 
     root = written(components(found), "shingles-roots")
-    placed = shared.drop("first").join(root, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "at", F.coalesce("root", "sig").alias("root"))
+    placed = shared.join(root, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "at", F.coalesce("root", "sig").alias("root"))
     placed = written(placed, "shingles-placed")
     discard(shared)
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(F.col("token").alias("t"))
