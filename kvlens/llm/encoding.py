@@ -18,13 +18,14 @@ other chunk between two added tokens, which the library cuts out first.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .resident import resident
+
 # Unicode White_Space, as the library's byte-level pattern has it.
 SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
@@ -32,6 +33,8 @@ SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
 CUT = "\ufdd0"
 #: Bytes of text cut and put together at a time.
 PIECE = 1 << 21
+#: Chunks that go to the library in one text.
+TOGETHER = 4_000
 _POINTS = r"[^\pL\pN][.,]"
 
 
@@ -57,7 +60,7 @@ def split_bytes(texts: pa.Array) -> pa.ListArray:
 class ChunkEncoder:
     """Encodes texts to ids of ``dtype``; keeps the ids of at most ``cache`` chunks of up to 64 characters."""
 
-    def __init__(self, path: str, kind: str, dtype: str = "<u4", cache: int = 800_000):
+    def __init__(self, path: str, kind: str, dtype: str = "<u4", cache: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.limit = Tokenizer.from_file(path), np.dtype(dtype), cache
@@ -106,8 +109,8 @@ class ChunkEncoder:
         for late in (False, True):
             for k, encode in enumerate((self._plain, self._apart, self._each)):
                 some = np.flatnonzero((kind == k) & (long == late)).tolist()
-                for a in range(0, len(some), 20_000):
-                    part = [new[i] for i in some[a : a + 20_000]]
+                for a in range(0, len(some), TOGETHER):
+                    part = [new[i] for i in some[a : a + TOGETHER]]
                     ids, n = encode(part)
                     if len(n) != len(part):
                         raise ValueError("the library's tokens don't tell its words apart")
@@ -180,10 +183,9 @@ def blobs(ids: np.ndarray, count: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(count), [None, pa.py_buffer(offsets.astype(np.int32 if small else np.int64)), pa.py_buffer(np.ascontiguousarray(ids))])
 
 
-@lru_cache(2)
 def chunk_encoder(path: str, kind: str, dtype: str = "<u4") -> ChunkEncoder:
     """One for each worker process, so that its cache outlives a task."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return ChunkEncoder(path, kind, dtype)
+    return resident(("chunks", path, kind, dtype), lambda: ChunkEncoder(path, kind, dtype))

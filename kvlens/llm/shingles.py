@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from .arrow import pieces, with_columns
 from .components import components
+from .resident import release
 from .simhash import _blocks, hashed, links, majority
 from .storage import bucketed, discard, freed, written
 
@@ -64,6 +65,8 @@ def with_set(df: DataFrame, text: str = "text", words: int = 5, keep: list[str]
         fields += [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shingles", T.BinaryType())]
 
     def make():
+        release()
+
         def call(rows: list[str]) -> list:
             every = [hashed(t, words) for t in rows]
             sets = [_raw(h) for h in every]

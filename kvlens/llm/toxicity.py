@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow import with_columns
+from .resident import release, resident
 
 WINDOW, STRIDE, LETTERS = 32, 16, 16
 POSITIVES, NEGATIVES = 2000, 3000
@@ -259,7 +260,7 @@ class Scorer:
         if len(self.known) > self.limit:
             for w in new:
                 del self.known[w]
-            self.gates = self.gates[: self.limit + 1] if len(self.gates) > 2 * self.limit else self.gates
+            self.gates = self.gates[: self.limit + 1].copy() if len(self.gates) > 2 * self.limit else self.gates
         return out, owner, at
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -345,6 +346,7 @@ def fit(documents: DataFrame, labels: DataFrame, positives: int = POSITIVES, neg
 
 
 def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     rows = sorted(r for b in batches for r in zip(*(b[c].to_pylist() for c in ("doc_id", "toxic", "text")), strict=True))
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train([r[2] for r in rows], [r[1] for r in rows]))], pa.binary())], names=["net"])
 
@@ -360,16 +362,10 @@ def score(df: DataFrame, net: Network | None, text: str = "text", keep: list[str
     return with_columns(df, text, [T.StructField(name, T.DoubleType())], make, keep, 1 << 19)
 
 
-_SCORERS: dict = {}
-
-
 def _scorer(shared) -> Scorer | None:
     """One for each worker process and network, so that its cache outlives a task."""
     key = getattr(shared, "_path", None) or id(shared)
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(shared.value) if shared.value is not None else None
-    return _SCORERS[key]
+    return resident(("toxicity", key), lambda: Scorer(shared.value) if shared.value is not None else None)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
