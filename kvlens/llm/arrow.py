@@ -52,3 +52,30 @@ def with_columns(df: DataFrame, column: str, fields: list[T.StructField], make:
             yield pa.RecordBatch.from_arrays([*[piece[c] for c in kept], *arrays], names=[*kept, *(f.name for f in fields)])
 
     return source.mapInArrow(run, schema)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        k = batch[key].to_numpy()
+        cut = int(np.searchsorted(k, k[-1], "left"))
+        if cut or held and held[-1][key][0].as_py() != k[0]:
+            if cut:
+                held.append(batch.slice(0, cut))
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def each(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """One table for each group of batches sorted by key."""
+    for table in grouped(batches, key):
+        k = table[key].to_numpy()
+        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])).tolist()
+        for a, b in zip(start, [*start[1:], len(k)], strict=True):
+            yield table.slice(a, b - a)

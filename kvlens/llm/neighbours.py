@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .arrow import grouped
 from .storage import discard, written
 
 TREES, LEAF, BLOCK = 4, 1024, 1 << 16
@@ -61,24 +62,6 @@ def _unpack(column) -> np.ndarray:
     return data[:, :-4].view(np.int8).astype(np.float32) * np.ascontiguousarray(data[:, -4:]).view("<f4")
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches sorted by key."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        k = batch[key].to_numpy()
-        cut = int(np.searchsorted(k, k[-1], "left"))
-        if cut or held and held[-1][key][0].as_py() != k[0]:
-            if cut:
-                held.append(batch.slice(0, cut))
-            yield pa.Table.from_batches(held)
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _best(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, new: np.ndarray, degree: int) -> list[np.ndarray]:
     """Each node's ``degree`` most similar neighbours, each once (not new, if any of its rows isn't)."""
     o = np.lexsort((nbr, node))
@@ -104,7 +87,7 @@ def _columns(table: pa.Table, names=("node", "nbr", "sim", "new")) -> list[np.nd
 
 def _merged(edges: DataFrame, degree: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, "node"):
+        for table in grouped(batches, "node"):
             yield _edges(_best(*_columns(table), degree))
 
     return edges.repartition("node").sortWithinPartitions("node").mapInArrow(run, EDGES)
@@ -191,7 +174,7 @@ def forest(units: DataFrame, dim: int, degree: int, trees: int = TREES, leaf: in
 
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (at, node, new, unit, worst) sorted by ``at``: pairs of a group that improve one of the two."""
-    for table in _grouped(batches, "at"):
+    for table in grouped(batches, "at"):
         at, node, new, worst = _columns(table, ("at", "node", "new", "worst"))
         x = _unpack(table["unit"])
         start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])).tolist()
@@ -260,7 +243,7 @@ def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = B
     seen = [written(state.select("q", "node"), "ann-seen")]
 
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, "q"):
+        for table in grouped(batches, "q"):
             q, node, sim, open_, kind = _columns(table, ("q", "node", "sim", "open", "kind"))
             units_ = table["unit"]
             sim, open_ = sim.copy(), open_.copy()

@@ -8,9 +8,11 @@ No radius in bits holds this bound, so candidates have two sources. Fingerprints
 within ``max_bits`` (pigeonhole blocks) come first. The prefix join finds the rest
 without a miss: with all shingles in one order, two sets of n shingles that are
 linked share one of their first n - ceil(4n/5) + 1 each. The order is rare first,
-with frequencies from a sample; it decides costs only, not what is found.
+by counts over all sets, so shingles that a set alone holds come before all others
+and two sets that each have too many of these never meet.
 
-Of the sets at a shared shingle each is first compared with the least one. Then
+Of the sets at a shared shingle each is first compared with the one that has the
+fewest shingles alone: of edited copies of a text that is the least edited. Then
 all pairs that these links leave in different components are compared, so the
 closure is that of all pairs, and a large group of near copies isn't squared.
 
@@ -24,17 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import pieces, with_columns
+from .arrow import each, pieces, with_columns
 from .components import components
 from .resident import release
 from .simhash import _blocks, hashed, links, majority
 from .storage import bucketed, discard, freed, written
 
-SAMPLE, FREQUENT = 20_000, 100_000
+#: Bytes of shingles that are packed at a time; shingles of a bucket, on average.
+PACK, BUCKET = 1 << 23, 1 << 20
 #: Bytes of a shingle's hash.
 WIDTH = 6
 
@@ -80,49 +84,101 @@ def with_set(df: DataFrame, text: str = "text", words: int = 5, keep: list[str]
     return with_columns(df, text, fields, make, keep)
 
 
-def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that sets of a sample share, in order of their hash, and how many sets do."""
-    step = max(1, sets.count() // SAMPLE)
+def _packed(buckets: int):
+    """Rows of sets to rows (bucket, piece, head, data): a piece's shingles by bucket, and its sets' sig and n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(iter([batch]), "shingles"):
-                yield pa.RecordBatch.from_arrays([pa.array(_set(b"".join(part["shingles"].to_pylist())).view(np.int64))], names=["token"])
-
-    counted = sets.where(F.pmod("sig", F.lit(step)) == 0).select("shingles").mapInArrow(run, "token long").groupBy("token").count().where("count > 1")
-    found = counted.orderBy(F.desc("count"), "token").limit(FREQUENT).toArrow()
-    del counted
-    freed(sets.sparkSession)
-    token, count = found["token"].to_numpy().view(np.uint64), found["count"].to_numpy()
-    order = np.argsort(token)
-    return token[order], count[order]
+            for part in pieces(iter([batch]), "shingles", PACK):
+                for low in range(0, len(part), 1 << 16):
+                    yield from packed(part.slice(low, 1 << 16))
+
+    def packed(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sig, n = part["sig"].to_numpy(), part["n"].to_numpy()
+        x = _set(b"".join(part["shingles"].to_pylist()))
+        at = ((x >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(16)).astype(np.uint16)
+        order = np.argsort(at, kind="stable")
+        of = np.repeat(np.arange(len(n)), n).astype("<u2")[order]
+        x, at = x.astype("<u4")[order], at[order]
+        cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(x) else np.empty(0, np.int64)
+        data = [x[a:b].tobytes() + of[a:b].tobytes() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(x)], strict=False)]
+        bucket = np.append(at[cuts].astype(np.int32), np.int32(int(sig[0]) % buckets))
+        head = np.arange(len(bucket)) == len(cuts)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.full(len(bucket), sig[0])), pa.array(head), pa.array([*data, sig.tobytes() + n.tobytes()], pa.binary())], names=["bucket", "piece", "head", "data"])
+
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket: each row's shingles that occur again in the bucket, and how often; heads as they are."""
+    for table in each(batches, "bucket"):
+        table = table.combine_chunks()
+        heads = table.filter(table["head"])
+        if len(heads):
+            yield from heads.to_batches()
+        table = table.filter(pc.invert(table["head"]))
+        data = table["data"].to_pylist()
+        if not data:
+            continue
+        size = np.array([len(d) // 6 for d in data], np.int64)
+        x = np.concatenate([np.frombuffer(d, "<u4", s) for d, s in zip(data, size.tolist(), strict=True)])
+        of = np.concatenate([np.frombuffer(d, "<u2", s, 4 * s) for d, s in zip(data, size.tolist(), strict=True)])
+        order = np.argsort(x, kind="stable")
+        start = np.flatnonzero(np.concatenate([[True], x[order][1:] != x[order][:-1]]))
+        times = np.diff(np.append(start, len(x)))
+        count = np.empty(len(x), np.int64)
+        count[order] = np.repeat(times, times)
+        again = count > 1
+        ends = np.cumsum(size)
+        kept = np.concatenate([[0], np.cumsum(again)[ends - 1]]).tolist()
+        x, of, count = x[again], of[again], np.minimum(count[again], 0xFFFF).astype("<u2")
+        out = [x[a:b].tobytes() + of[a:b].tobytes() + count[a:b].tobytes() for a, b in zip(kept, kept[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (table["bucket"], table["piece"], table["head"])] + [pa.array(out, pa.binary())], names=["bucket", "piece", "head", "data"])
+
+
+def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by piece: the entries of each of its sets."""
+    for table in each(batches, "piece"):
+        rows = table.to_pylist()
+        sig = n = None
+        tokens, of, count = [], [], []
+        for r in rows:
+            d = r["data"]
+            if r["head"]:
+                sig, n = np.frombuffer(d, np.int64).reshape(2, -1)
+                continue
+            s = len(d) // 8
+            tokens.append(np.frombuffer(d, "<u4", s).astype(np.int64) | np.int64(r["bucket"] << 32))
+            of.append(np.frombuffer(d, "<u2", s, 4 * s).astype(np.int64))
+            count.append(np.frombuffer(d, "<u2", s, 6 * s))
+        if not tokens:
+            continue
+        tokens, of, count = np.concatenate(tokens), np.concatenate(of), np.concatenate(count)
+        if not len(tokens):
+            continue
+        order = np.lexsort((tokens, count, of))
+        tokens, of = tokens[order], of[order]
+        many = np.bincount(of, minlength=len(n))
+        alone = n - many
+        at = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + alone[of]
+        # Two shingles of a set that count as one stand at the place of the first.
+        k = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])]) & (at <= n[of] - needed(n[of]))
+        of = of[k]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (tokens[k], sig[of], n[of], at[k], alone[of])], names=["token", "sig", "n", "at", "alone"])
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(token, sig, n, at): each set's first shingles in the common order, and their places in it."""
-    often, count = _frequent(sets)
+    """(token, sig, n, at, alone): of each set's first shingles in the common order those that another set has, their places in it, and how many of the set's shingles no other has.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(iter([batch]), "shingles"):
-                tokens, of, at = [], [], []
-                for i, raw in enumerate(part["shingles"].to_pylist()):
-                    x = _set(raw)
-                    if not len(x):
-                        continue
-                    rank = np.zeros(len(x), np.int64)
-                    if len(often):
-                        place = np.minimum(np.searchsorted(often, x), len(often) - 1)
-                        rank = np.where(often[place] == x, count[place], 0)
-                    first = x[np.lexsort((x, rank))[: len(x) - needed(len(x)) + 1]]
-                    tokens.append(first)
-                    of.append(np.full(len(first), i))
-                    at.append(np.arange(len(first)))
-                if tokens:
-                    of = pa.array(np.concatenate(of))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), part["sig"].take(of), part["n"].take(of), pa.array(np.concatenate(at))], names=["token", "sig", "n", "at"])
-
-    return sets.select("sig", "n", "shingles").mapInArrow(run, "token long, sig long, n long, at long")
+    The order is by the number of sets that hold a shingle, counted over all sets. Shingles cross the
+    network packed, in buckets by their upper bits; within one they count by their lower 32.
+    """
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    buckets = min(1 << 16, max(1, -(-total // BUCKET)))
+    row = "bucket int, piece long, head boolean, data binary"
+    packed = sets.select("sig", "n", "shingles").mapInArrow(_packed(buckets), row)
+    counted = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_counted, row)
+    return counted.repartition("piece").sortWithinPartitions("piece").mapInArrow(_first, "token long, sig long, n long, at long, alone long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -153,13 +209,15 @@ def linked(sets: DataFrame, max_bits: int = 4, bucket_limit: int = 4096) -> Data
     same = sets.select("fp", "sig").join(prints.withColumnRenamed("fp", "f"), F.col("fp") == F.col("f")).select(F.col("sig").alias("u"), F.col("first").alias("v"))
 
     entries = written(prefixes(sets), "shingles-prefixes")
+    freed(sets.sparkSession)
     # Counted by the token alone, so that no more than it crosses the network; sets are named once few entries are left.
     counts = entries.groupBy("token").count().where("count > 1").select(F.col("token").alias("t"))
     shared = written(entries.join(counts, F.col("token") == F.col("t")).drop("t"), "shingles-shared")
     freed(sets.sparkSession, entries)
-    firsts = shared.groupBy("token").agg(F.min(F.struct("sig", "n")).alias("first")).select(F.col("token").alias("t"), "first")
+    firsts = shared.groupBy("token").agg(F.min(F.struct("alone", "sig", "n")).alias("first")).select(F.col("token").alias("t"), "first")
     sizes = lambda x, y: (5 * x >= 4 * y) & (5 * y >= 4 * x)
-    star = shared.join(firsts, F.col("token") == F.col("t")).where(sizes(F.col("n"), F.col("first.n"))).select(F.col("sig").alias("u"), F.col("first.sig").alias("v"))
+    own = 9 * F.least(F.col("n") - F.col("alone"), F.col("first.n") - F.col("first.alone")) >= 4 * (F.col("n") + F.col("first.n"))
+    star = shared.join(firsts, F.col("token") == F.col("t")).where(sizes(F.col("n"), F.col("first.n")) & own).select(F.col("sig").alias("u"), F.col("first.sig").alias("v"))
     pairs = written(close.union(same).union(star).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "shingles-pairs")
     found = written(verified(pairs, sets), "shingles-links")
 

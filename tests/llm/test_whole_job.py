@@ -1,12 +1,13 @@
 """Each stage's whole job against plain brute force, on small tables made for it."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
-from kvlens.llm import html_text, neighbours
+from kvlens.llm import html_text, neighbours, shingles
 
 
 def shingle_set(text):
@@ -128,3 +129,50 @@ def test_pipeline_repeated_and_null_ids(spark, data):
     got = sorted((r.doc_id or 0, r.text) for r in pipeline.drop_near_copies(spark, table(spark, rows), data).collect())
     assert [i for i, _ in got] == [0, 1, 2, 4]
     assert got[1:] == [(1, a), (2, b), (4, d)] and got[0][1] in (c, c + " more")
+
+
+def versions():
+    """Texts whose shingles are a base's but for many edits: a few are near copies, most only of the base's next versions."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    base = [word() for _ in range(400)]
+    out = []
+    for i in range(120):
+        text = list(base)
+        for at in rng.sample(range(400), 1 + i % 40):
+            text[at] = word()
+        out.append((i, " ".join(text)))
+    return out
+
+
+def test_pipeline_versions_of_one_text(spark, data, monkeypatch):
+    """Versions at every distance from a text are told apart without comparing all pairs of those that aren't linked."""
+    texts, compared = versions(), []
+    verified = shingles.verified
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(shingles, "verified", counted)
+    want = brute_components({i: shingle_set(t) for i, t in texts})
+    got = {r.doc_id for r in pipeline.drop_near_copies(spark, table(spark, texts), data).select("doc_id").collect()}
+    assert got == set(want.values())
+    assert sum(compared) < len(texts)
+
+
+def test_pipeline_prefixes_count_over_all_sets(spark):
+    """Places follow counts over all sets: a set's own shingles come first, and one that is in a single set is no entry."""
+    texts = versions()
+    own = {t: shingle_set(t) for _, t in texts}
+    times = Counter(s for x in own.values() for s in x)
+    sets = shingles.with_set(table(spark, texts), keep=["text"])
+    name = {r.sig: r.text for r in sets.select("sig", "text").collect()}
+    rows = shingles.prefixes(sets).collect()
+    assert rows and all(r.alone == sum(times[s] == 1 for s in own[name[r.sig]]) <= r.at < r.n - shingles.needed(r.n) + 1 for r in rows)
+    first = {x: sorted((times[s] for s in own[x]))[: len(own[x]) - shingles.needed(len(own[x])) + 1] for x in own}
+    assert Counter(name[r.sig] for r in rows) == Counter({x: m for x, f in first.items() if (m := sum(c > 1 for c in f))})
+    at = {}
+    for r in rows:
+        at.setdefault(name[r.sig], []).append((r.at, r.token))
+    assert all(len(set(p)) == len(p) == len({k for _, k in p}) for p in at.values())
