@@ -13,7 +13,8 @@ A search runs for all queries at once. A query's beam holds its ``beam`` nearest
 nodes so far; each hop joins the nearest of the unexpanded ones (one in ``FRONT``
 of the beam, as later finds may push the others out) with their neighbour lists,
 leaves out what the query has seen, scores the rest and keeps the best. It ends
-when no query has anything left to expand. The beam is then scored exactly. It
+when no query has anything left to expand. A query is one row, its beam and what
+it has seen packed, so a hop moves lists and vectors but no row for each of a beam. The beam is then scored exactly. It
 grows with the square root of the number of nodes, and is ``BEAM`` at least.
 
 The graph and the search use vectors rounded to 8 bits a component; rounding
@@ -34,10 +35,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import grouped
+from .arrow import each, grouped
 from .storage import discard, written
 
 TREES, LEAF, BLOCK = 4, 1024, 1 << 16
@@ -236,54 +238,65 @@ def width(nodes: int) -> int:
 
 def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = BEAM) -> DataFrame:
     """Greedy search from each query node (column q): its beam as rows (q, node)."""
-    STATE = "q long, node long, sim float, open boolean, next boolean"
+    STATE = "q long, unit binary, node binary, sim binary, open binary, seen binary, next array<long>"
     front_size = max(1, -(-beam // FRONT))
-    own = written(queries.select("q").distinct().join(units, F.col("q") == F.col("node")).select("q", "unit"), "ann-queries")
-    state = written(own.select("q", F.col("q").alias("node"), F.lit(2.0).cast("float").alias("sim"), F.lit(True).alias("open"), F.lit(True).alias("next")), "ann-beam")
-    seen = [written(state.select("q", "node"), "ann-seen")]
 
-    def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, "q"):
-            q, node, sim, open_, kind = _columns(table, ("q", "node", "sim", "open", "kind"))
-            units_ = table["unit"]
-            sim, open_ = sim.copy(), open_.copy()
-            start = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])).tolist()
-            keep, next_ = [], []
-            for a, b in zip(start, [*start[1:], len(q)], strict=True):
-                k = kind[a:b]
-                new = a + np.flatnonzero(k == 2)
-                if len(new):
-                    mine = a + int(np.flatnonzero(k == 0)[0])
-                    sim[new] = _unpack(units_.take(pa.array(new))) @ _unpack(units_.slice(mine, 1))[0]
-                there = a + np.flatnonzero(k != 0)
-                order = there[np.lexsort((node[there], -sim[there]))]
-                keep.append(order[:beam])
-                left = open_[keep[-1]]
-                next_.append(left & (np.cumsum(left) <= front_size))
-            at = np.concatenate(keep)
-            yield pa.RecordBatch.from_arrays([pa.array(q[at]), pa.array(node[at]), pa.array(sim[at]), pa.array(open_[at]), pa.array(np.concatenate(next_))], names=["q", "node", "sim", "open", "next"])
+    def row(q: int, unit: bytes, node: np.ndarray, sim: np.ndarray, open_: np.ndarray, seen: np.ndarray) -> dict:
+        next_ = open_ & (np.cumsum(open_) <= front_size)
+        return {"q": q, "unit": unit, "node": node.tobytes(), "sim": sim.tobytes(), "open": (open_ & ~next_).tobytes(), "seen": seen.tobytes(), "next": node[next_]}
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for q, unit in zip(batch["q"].to_pylist(), batch["unit"].to_pylist(), strict=True):
+                own = np.array([q], np.int64)
+                yield pa.RecordBatch.from_pylist([row(q, unit, own, np.array([2], np.float32), np.ones(1, bool), own)], schema)
+
+    def unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in each(batches, "q"):
+            seen = np.frombuffer(next(s for s in table["seen"].to_pylist() if s is not None), np.int64)
+            met = np.unique(pc.list_flatten(table["nbrs"]).to_numpy())
+            fresh = np.setdiff1d(met, seen, assume_unique=True)
+            if len(fresh):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fresh), table["q"][0].as_py())), pa.array(fresh)], names=["q", "node"])
 
+    def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in each(batches, "q"):
+            old = table.filter(pc.is_null(table["new"])).select(["q", "unit", "node", "sim", "open", "seen"]).to_pylist()[0]
+            found = table.filter(pc.is_valid(table["new"]))
+            new = found["new"].to_numpy()
+            sim = _unpack(found["unit"]) @ _unpack(pa.array([old["unit"]]))[0] if len(new) else np.empty(0, np.float32)
+            node = np.concatenate([np.frombuffer(old["node"], np.int64), new])
+            sim = np.concatenate([np.frombuffer(old["sim"], np.float32), sim.astype(np.float32)])
+            open_ = np.concatenate([np.frombuffer(old["open"], bool), np.ones(len(new), bool)])
+            seen = np.sort(np.concatenate([np.frombuffer(old["seen"], np.int64), new]))
+            best = np.lexsort((node, -sim))[:beam]
+            yield pa.RecordBatch.from_pylist([row(old["q"], old["unit"], node[best], sim[best], open_[best], seen)], schema)
+
+    def beams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for q, raw in zip(batch["q"].to_pylist(), batch["node"].to_pylist(), strict=True):
+                node = np.frombuffer(raw, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), q)), pa.array(node)], names=["q", "node"])
+
+    schema = pa.schema([("q", pa.int64()), *((c, pa.binary()) for c in ("unit", "node", "sim", "open", "seen")), ("next", pa.list_(pa.int64()))])
+    own = queries.select("q").distinct().join(units, F.col("q") == F.col("node")).select("q", "unit")
+    state = written(own.mapInArrow(begin, STATE), "ann-beam")
+    none = F.lit(None)
     for _ in range(MAX_HOPS):
-        front = state.where("next").select("q", F.col("node").alias("from"))
-        raw = front.join(lists, F.col("from") == F.col("node")).select("q", F.explode("nbrs").alias("node")).distinct()
-        before = seen[0]
-        for s in seen[1:]:
-            before = before.union(s)
-        fresh = written(raw.join(before.select(F.col("q").alias("sq"), F.col("node").alias("sn")), (F.col("q") == F.col("sq")) & (F.col("node") == F.col("sn")), "left_anti"), "ann-seen")
-        seen.append(fresh)
-        none, no = F.lit(None).cast("binary"), F.lit(False)
-        rows = state.select("q", "node", "sim", (F.col("open") & ~F.col("next")).alias("open"), F.lit(1).alias("kind"), none.alias("unit"))
-        rows = rows.union(own.select("q", F.lit(-1).cast("long"), F.lit(0).cast("float"), no, F.lit(0), "unit"))
-        rows = rows.union(fresh.withColumnRenamed("node", "n").join(units, F.col("n") == F.col("node")).select("q", "node", F.lit(0).cast("float"), F.lit(True), F.lit(2), "unit"))
-        after = written(rows.repartition("q").sortWithinPartitions("q").mapInArrow(advance, STATE), "ann-beam")
+        front = state.select("q", F.explode("next").alias("from"))
+        met = front.join(lists, F.col("from") == F.col("node")).select("q", "nbrs", none.cast("binary").alias("seen"))
+        met = met.union(state.select("q", none.cast("array<long>"), "seen"))
+        fresh = met.repartition("q").sortWithinPartitions("q").mapInArrow(unseen, "q long, node long").withColumnRenamed("node", "new")
+        found = fresh.join(units, F.col("new") == F.col("node")).select("q", "new", "unit", *[none.cast("binary").alias(c) for c in ("node", "sim", "open", "seen")])
+        found = found.union(state.select("q", none.cast("long"), "unit", "node", "sim", "open", "seen"))
+        after = written(found.repartition("q").sortWithinPartitions("q").mapInArrow(advance, STATE), "ann-beam")
         _freed(state)
         state = after
-        if state.where("open").isEmpty():
+        if state.where(F.size("next") > 0).isEmpty():
             break
     else:
         raise RuntimeError(f"search: not settled after {MAX_HOPS} hops")
-    _freed(own, *seen)
-    return state
+    return state.select("q", "node").mapInArrow(beams, "q long, node long")
 
 
 def nearest(df: DataFrame, is_query: Callable, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", beam: int | None = None, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:

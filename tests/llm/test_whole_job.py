@@ -176,3 +176,23 @@ def test_pipeline_prefixes_count_over_all_sets(spark):
     for r in rows:
         at.setdefault(name[r.sig], []).append((r.at, r.token))
     assert all(len(set(p)) == len(p) == len({k for _, k in p}) for p in at.values())
+
+
+def test_op1_search_holds_one_row_a_query(spark, monkeypatch):
+    """A hop writes one row for each query, whatever the beam; a beam as large as the graph finds each node once."""
+    x = np.random.default_rng(6).standard_normal((600, 16))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    vectors, units, dim = neighbours.nodes_of(df, "vec_id", "embedding", 6)
+    lists = neighbours.graph(units, dim, degree=8)
+    queries = vectors.limit(7).select(vectors["node"].alias("q")).localCheckpoint()
+    kept, written = [], neighbours.written
+
+    def counted(frame, name):
+        out = written(frame, name)
+        kept.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(neighbours, "written", counted)
+    found = neighbours.search(queries, units, lists, beam=600).collect()
+    assert {name for name, _ in kept} == {"ann-beam"} and {n for _, n in kept} == {7}
+    assert len(found) == len({(r.q, r.node) for r in found}) == 7 * 600
