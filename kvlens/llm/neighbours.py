@@ -1,23 +1,28 @@
 """Approximate nearest neighbours by cosine: NN-descent and greedy graph search.
 
 The index is a graph of distinct vectors; the ids of equal vectors ride on their
-node, so copies cost nothing. It starts from random-projection trees: vectors
-are dealt by a random projection, and each task halves its blocks by further
-projections down to leaves that are compared within. Then rounds of NN-descent:
-each node's forward and reverse neighbours (``degree`` of each at most) meet by
-joins, are compared with each other where either is new, and a pair that is
-closer than the worst neighbour one of them has is offered to that one. Rounds
-end when less than ``ENOUGH`` of the edges are new.
-
-A search runs for all queries at once. A query's beam holds its ``beam`` nearest
-nodes so far; each hop joins the nearest of the unexpanded ones (one in ``FRONT``
-of the beam, as later finds may push the others out) with their neighbour lists,
-leaves out what the query has seen, scores the rest and keeps the best. It ends
-when no query has anything left to expand. A query is one row, its beam and what
-it has seen packed, so a hop moves lists and vectors but no row for each of a beam. The beam is then scored exactly. It
-grows with the square root of the number of nodes, and is ``BEAM`` at least.
-
-The graph and the search use vectors rounded to 8 bits a component; rounding
+node, so copies cost nothing. Nodes are dealt to blocks of as many vectors as a
+task can hold (``HELD``), and each block has a graph of its own; a table that
+fits in one has one. A graph starts from random-projection trees: random
+projections halve a block down to leaves that are compared within. Then rounds
+of NN-descent: a node's forward and reverse neighbours (``degree`` of each at
+most) bring theirs, those met over a new edge are compared with it, and the
+nearest stay. A block's rounds end when less than ``ENOUGH`` of its edges are
+new. Vectors and edges lie in the shared folder: a task reads its block and
+writes the lists of its range of the nodes, so rounds shuffle nothing.
+
+Each query searches each block, in a task that holds the block and a file of
+queries. Its beam holds the ``beam`` nearest nodes so far, at first from its
+leaves in the trees, so that parts of a graph that no edge joins are reached too,
+and from its own node, where that is in the block; each hop expands the nearest of the
+unexpanded ones (one in ``FRONT`` of the beam, as later finds may push the
+others out), scores the neighbours it has not seen and keeps the best. It ends
+when nothing is left to expand. The beam grows with the square root of the
+block's nodes, and is ``BEAM`` at least. A task gives one packed row for each
+query: of the beam, all nodes that could be among the nearest by the exact
+score, as the error of rounding is bounded. These are then scored exactly.
+
+The graph and the search use vectors rounded to 16 bits a component; rounding
 decides only what is looked at, never a score that is returned.
 
 Defined cases: rows whose id or vector is null, or whose vector is empty, zero
@@ -31,68 +36,43 @@ from __future__ import annotations
 
 import gc
 import math
+import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrow import each, grouped
-from .storage import discard, written
+from .arrow import each
+from .storage import discard, fresh, get, put, remove, written
 
-TREES, LEAF, BLOCK = 4, 1024, 1 << 16
+TREES, LEAF = 4, 1024
 DEGREE, ENOUGH = 24, 0.01
 BEAM, WIDER, FRONT = 208, 2.5, 4
-#: Guards against a fault only: a graph or search that isn't settled after so many raises.
-ROUNDS, MAX_HOPS = 40, 200
-EDGES = "node long, nbr long, sim float, new boolean"
+#: Guards against a fault only: a graph that isn't settled after so many raises.
+ROUNDS = 40
+#: Components of a block's vectors, held by a task as floats; nodes of a file; tasks of a block's round.
+HELD, PIECE, SHARES = 1 << 23, 1 << 13, 16
+#: Queries of a task, between these two.
+ASKED = 64, 1 << 13
 
 
 def _pack(x: np.ndarray) -> pa.Array:
-    """Rows as one byte a component and a four-byte scale."""
+    """Rows as two bytes a component and a four-byte scale."""
     scale = np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-30)
-    q = np.rint(x / scale * 127).astype(np.int8)
-    data = np.concatenate([q.view(np.uint8), (scale / 127).astype("<f4").view(np.uint8)], axis=1)
+    q = np.rint(x / scale * 32767).astype("<i2")
+    data = np.concatenate([q.view(np.uint8), (scale / 32767).astype("<f4").view(np.uint8)], axis=1)
     return pa.array([r.tobytes() for r in data], pa.binary())
 
 
-def _unpack(column) -> np.ndarray:
-    rows = column.to_pylist()
-    data = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
-    return data[:, :-4].view(np.int8).astype(np.float32) * np.ascontiguousarray(data[:, -4:]).view("<f4")
-
-
-def _best(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, new: np.ndarray, degree: int) -> list[np.ndarray]:
-    """Each node's ``degree`` most similar neighbours, each once (not new, if any of its rows isn't)."""
-    o = np.lexsort((nbr, node))
-    node, nbr, sim, new = node[o], nbr[o], sim[o], new[o]
-    at = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (nbr[1:] != nbr[:-1])]))
-    new = np.minimum.reduceat(new.view(np.uint8), at).astype(bool)
-    node, nbr, sim = node[at], nbr[at], sim[at]
-    o = np.lexsort((nbr, -sim, node))
-    node, nbr, sim, new = node[o], nbr[o], sim[o], new[o]
-    start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-    rank = np.arange(len(node)) - np.repeat(start, np.diff(np.append(start, len(node))))
-    k = rank < degree
-    return [node[k], nbr[k], sim[k], new[k]]
-
-
-def _edges(columns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "nbr", "sim", "new"])
-
-
-def _columns(table: pa.Table, names=("node", "nbr", "sim", "new")) -> list[np.ndarray]:
-    return [table[n].to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table[n].to_numpy() for n in names]
-
-
-def _merged(edges: DataFrame, degree: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, "node"):
-            yield _edges(_best(*_columns(table), degree))
-
-    return edges.repartition("node").sortWithinPartitions("node").mapInArrow(run, EDGES)
+def _unpack(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of bytes as vectors, and a bound of how far rounding has moved each."""
+    scale = np.ascontiguousarray(data[:, -4:]).view("<f4")
+    x = np.ascontiguousarray(data[:, :-4]).view("<i2").astype(np.float32)
+    x *= scale
+    return x, scale[:, 0] * (math.sqrt(x.shape[1]) / 2 + 0.01)
 
 
 def nodes_of(df: DataFrame, vec_id: str, vector: str, ids: int) -> DataFrame:
@@ -118,117 +98,228 @@ def nodes_of(df: DataFrame, vec_id: str, vector: str, ids: int) -> DataFrame:
     return found, written(found.select("node", "vec").mapInArrow(run, "node long, unit binary"), "ann-units"), dim
 
 
-def _leaves(x: np.ndarray, rows: np.ndarray, leaf: int, rng: np.random.Generator) -> Iterator[np.ndarray]:
-    todo = [rows]
-    while todo:
-        at = todo.pop()
-        if len(at) <= leaf:
-            yield at
-            continue
-        a, b = rng.choice(at, 2, replace=False)
-        order = np.argsort(x[at] @ (x[a] - x[b]), kind="stable")
-        half = len(at) // 2
-        todo += [at[order[:half]], at[order[half:]]]
-
-
-def forest(units: DataFrame, dim: int, degree: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """First edges: each vector's nearest within its leaf, of each tree."""
-
-    def tree(seed: int) -> DataFrame:
-        way = np.random.default_rng(seed).standard_normal(dim).astype(np.float32)
-
-        def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch["node"], batch["unit"], pa.array(_unpack(batch["unit"]) @ way)], names=["node", "unit", "along"])
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, n = [], 0
-
-            def block() -> Iterator[pa.RecordBatch]:
-                table = pa.Table.from_batches(held)
-                node, x = table["node"].to_numpy(), _unpack(table["unit"])
-                rng = np.random.default_rng(seed)
-                for at in _leaves(x, np.arange(len(x)), leaf, rng):
-                    if len(at) < 2:
-                        continue
-                    sim = x[at] @ x[at].T
-                    np.fill_diagonal(sim, -9)
-                    k = min(degree, len(at) - 1)
-                    near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-                    yield _edges([np.repeat(node[at], k), node[at[near]].ravel(), np.take_along_axis(sim, near, 1).ravel(), np.ones(near.size, bool)])
-
-            for batch in batches:
-                held.append(batch)
-                n += len(batch)
-                if n >= BLOCK:
-                    yield from block()
+def _freed(*frames: DataFrame) -> None:
+    """Discards frames, and lets the driver free shuffle files that nothing refers to any more."""
+    discard(*frames)
+    gc.collect()
+    frames[0].sparkSession._jvm.System.gc()
+
+
+def _tasks(spark: SparkSession, n: int, run: Callable[[int], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What run(i) gives for each i below n, a task each."""
+
+    def each_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch["id"].to_pylist():
+                yield from run(i)
+
+    return spark.range(0, n, 1, max(1, n)).mapInArrow(each_task, schema)
+
+
+def _stored(df: DataFrame, root: str, most: int) -> list[tuple[str, int]]:
+    """Rows (node, unit) as files of at most ``most``: where each is and how many it has."""
+
+    def save(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        node, uri = table["node"].to_numpy(), f"{root}/{uuid.uuid4().hex}"
+        put(uri, [node.astype("<i8").tobytes(), b"".join(table["unit"].to_pylist())])
+        return pa.RecordBatch.from_pylist([{"uri": uri, "n": len(node), "first": int(node[0])}])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            while len(batch):
+                held.append(batch.slice(0, most - n))
+                batch = batch.slice(most - n)
+                n += len(held[-1])
+                if n == most:
+                    yield save(held)
                     held, n = [], 0
-            if held:
-                yield from block()
+        if held:
+            yield save(held)
+
+    files = df.select("node", "unit").mapInArrow(run, "uri string, n long, first long").collect()
+    return [(r.uri, r.n) for r in sorted(files, key=lambda r: r.first)]
 
-        return units.mapInArrow(project, "node long, unit binary, along float").repartitionByRange("along").sortWithinPartitions("along").select("node", "unit").mapInArrow(compare, EDGES)
 
-    out = tree(1)
-    for t in range(2, trees + 1):
-        out = out.union(tree(t))
+def _vectors(files: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of such files: nodes, their vectors and what rounding may have moved them."""
+    nodes, rows = [], []
+    for uri, n in files:
+        raw = get(uri)
+        nodes.append(np.frombuffer(raw, "<i8", n))
+        rows.append(np.frombuffer(raw, np.uint8, offset=8 * n).reshape(n, -1))
+    return np.concatenate(nodes), *_unpack(np.concatenate(rows))
+
+
+@dataclass
+class Block:
+    """Files of a block's vectors, and of its edges by ranges of positions."""
+
+    vectors: list[tuple[str, int]]
+    edges: list[str] = field(default_factory=list)
+    settled: bool = False
+
+    @property
+    def size(self) -> int:
+        return sum(n for _, n in self.vectors)
+
+    def ranges(self) -> list[tuple[int, int]]:
+        step = max(LEAF, -(-self.size // SHARES))
+        return [(a, min(a + step, self.size)) for a in range(0, self.size, step)]
+
+
+def _blocks(files: list[tuple[str, int]], held: int) -> list[Block]:
+    """Blocks of about equal size, ``held`` nodes each and less than a file more."""
+    total = sum(n for _, n in files)
+    count, out, seen = -(-total // held), [], 0
+    for uri, n in files:
+        if not out or len(out) < count and seen >= total * len(out) / count:
+            out.append(Block([]))
+        out[-1].vectors.append((uri, n))
+        seen += n
     return out
 
 
-def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (at, node, new, unit, worst) sorted by ``at``: pairs of a group that improve one of the two."""
-    for table in grouped(batches, "at"):
-        at, node, new, worst = _columns(table, ("at", "node", "new", "worst"))
-        x = _unpack(table["unit"])
-        start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])).tolist()
-        out_a, out_b, out_s = [], [], []
-        for a, b in zip(start, [*start[1:], len(at)], strict=True):
-            m, fresh = node[a:b], new[a:b]
-            if b - a < 2 or not fresh.any():
-                continue
-            sim = x[a:b] @ x[a:b].T
-            good = (fresh[:, None] | fresh[None, :]) & (sim > worst[a:b, None]) & (m[:, None] != m[None, :])
-            i, j = np.nonzero(good)
-            out_a.append(m[i])
-            out_b.append(m[j])
-            out_s.append(sim[i, j])
-        if any(map(len, out_a)):
-            a, b, s = np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
-            o = np.lexsort((b, a))
-            first = o[np.concatenate([[True], (a[o][1:] != a[o][:-1]) | (b[o][1:] != b[o][:-1])])]
-            yield _edges([a[first], b[first], s[first], np.ones(len(first), bool)])
+Edges = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _freed(*frames: DataFrame) -> None:
-    """Discards frames, and lets the driver free shuffle files that nothing refers to any more."""
-    discard(*frames)
-    gc.collect()
-    frames[0].sparkSession._jvm.System.gc()
+def _edges(files: list[str], degree: int) -> Edges:
+    """Neighbours (positions, -1 for none), similarities and which are new, a row for each node."""
+    out = [[], [], []]
+    for raw in map(get, files):
+        n = len(raw) // 9
+        out[0].append(np.frombuffer(raw, "<i4", n))
+        out[1].append(np.frombuffer(raw, "<f4", n, offset=4 * n))
+        out[2].append(np.frombuffer(raw, bool, n, offset=8 * n))
+    return tuple(np.concatenate(x).reshape(-1, degree) for x in out)
 
 
-def _reverse(edges: DataFrame, degree: int) -> DataFrame:
-    return _merged(edges.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim", "new"), degree)
-
-
-def graph(units: DataFrame, dim: int, degree: int = DEGREE, rounds: int = ROUNDS, enough: float = ENOUGH) -> DataFrame:
-    """(node, nbrs): each node's neighbours, forward and reverse."""
-    edges = written(_merged(forest(units, dim, degree), degree), "ann-edges")
-    for _ in range(rounds):
-        worst = edges.groupBy("node").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("n")).select(F.col("node").alias("w"), F.when(F.col("n") >= degree, F.col("low")).otherwise(F.lit(-9.0).cast("float")).alias("worst"))
-        known = units.join(worst, F.col("node") == F.col("w"), "left").select("node", "unit", F.coalesce("worst", F.lit(-9.0).cast("float")).alias("worst"))
-        both = edges.union(_reverse(edges, degree)).groupBy("node", "nbr").agg(F.max("new").alias("new")).select(F.col("node").alias("at"), F.col("nbr").alias("member"), "new")
-        met = both.join(known, F.col("member") == F.col("node")).select("at", "node", "new", "unit", "worst")
-        offers = met.repartition("at").sortWithinPartitions("at").mapInArrow(_local, EDGES)
-        after = written(_merged(edges.withColumn("new", F.lit(False)).union(offers), degree), "ann-edges")
-        changed = after.agg(F.avg(F.col("new").cast("double"))).first()[0] or 0.0
-        _freed(edges)
-        edges = after
-        if changed < enough:
+def _leaves(x: np.ndarray, leaf: int, seed: int, asked: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each leaf of a tree over x: its rows, and which rows of ``asked`` would fall in it."""
+    rng = np.random.default_rng(seed)
+    todo = [(np.arange(len(x)), np.arange(0 if asked is None else len(asked)))]
+    while todo:
+        at, q = todo.pop()
+        if len(at) <= leaf:
+            yield at, q
+            continue
+        a, b = rng.choice(at, 2, replace=False)
+        along = x[at] @ (x[a] - x[b])
+        order = np.argsort(along, kind="stable")
+        half = len(at) // 2
+        left = asked[q] @ (x[a] - x[b]) < along[order[half]] if len(q) else np.zeros(0, bool)
+        todo += [(at[order[:half]], q[left]), (at[order[half:]], q[~left])]
+
+
+def _first(x: np.ndarray, a: int, b: int, degree: int, leaf: int) -> Edges:
+    """First edges of positions a to b: the nearest within their leaves, of each tree."""
+    nbr = np.full((b - a, TREES, degree), -1, np.int32)
+    sim = np.full(nbr.shape, -9, np.float32)
+    for t in range(TREES):
+        for at, _ in _leaves(x, leaf, t + 1):
+            own = at[(at >= a) & (at < b)]
+            k = min(degree, len(at) - 1)
+            if not len(own) or not k:
+                continue
+            near = x[own] @ x[at].T
+            near[own[:, None] == at] = -9
+            best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            nbr[own - a, t, :k] = at[best]
+            sim[own - a, t, :k] = np.take_along_axis(near, best, 1)
+    nbr, sim = nbr.reshape(b - a, -1), sim.reshape(b - a, -1)
+    o = np.argsort(nbr, axis=1, kind="stable")
+    nbr, sim = np.take_along_axis(nbr, o, 1), np.take_along_axis(sim, o, 1)
+    again = np.zeros(nbr.shape, bool)
+    again[:, 1:] = nbr[:, 1:] == nbr[:, :-1]
+    nbr[again], sim[again] = -1, -9
+    o = np.argsort(-sim, axis=1, kind="stable")[:, :degree]
+    nbr, sim = np.take_along_axis(nbr, o, 1), np.take_along_axis(sim, o, 1)
+    return nbr, sim, nbr >= 0
+
+
+def _both(nbr: np.ndarray, sim: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node's forward neighbours and as many of the nearest reverse ones (-1 for none), and which are new."""
+    n, degree = nbr.shape
+    at, k = np.nonzero(nbr >= 0)
+    to = nbr[at, k]
+    # Similarities lie above -2, so the bits of 3 less one order as it does.
+    key = to.astype(np.uint64) << np.uint64(32) | (np.float32(3) - sim[at, k]).view(np.uint32)
+    o = np.argsort(key, kind="stable")
+    to, at, young = to[o], at[o], new[at, k][o]
+    rank = np.arange(len(to)) - np.searchsorted(to, np.arange(n))[to]
+    few = rank < degree
+    back, fresh_ = np.full((n, degree), -1, np.int32), np.zeros((n, degree), bool)
+    back[to[few], rank[few]] = at[few]
+    fresh_[to[few], rank[few]] = young[few]
+    return np.concatenate([nbr, back], axis=1), np.concatenate([new, fresh_], axis=1)
+
+
+def _descend(x: np.ndarray, edges: Edges, a: int, b: int) -> Edges:
+    """A round for positions a to b: neighbours of neighbours met over a new edge, where they are nearer."""
+    both, fresh_ = _both(*edges)
+    nbr, sim = edges[0][a:b].copy(), edges[1][a:b].copy()
+    new = np.zeros(nbr.shape, bool)
+    degree = nbr.shape[1]
+    for i in range(b - a):
+        members, young = both[a + i], fresh_[a + i]
+        old = members[~young & (members >= 0)]
+        young = members[young]
+        ids = np.sort(np.concatenate([young, both[young].ravel(), both[old][fresh_[old]]]))
+        ids = ids[np.flatnonzero(np.diff(ids, prepend=-1))]
+        ids = ids[ids >= 0]
+        near = x[ids] @ x[a + i]
+        good = near > sim[i, -1]
+        ids, near = ids[good], near[good]
+        good = ~np.isin(ids, nbr[i]) & (ids != a + i)
+        if not good.any():
+            continue
+        ids, near = np.concatenate([nbr[i], ids[good]]), np.concatenate([sim[i], near[good]])
+        best = np.lexsort((ids, -near))[:degree]
+        nbr[i], sim[i], new[i] = ids[best], near[best], best >= degree
+    return nbr, sim, new
+
+
+def graph(units: DataFrame, dim: int, degree: int = DEGREE, rounds: int = ROUNDS, enough: float = ENOUGH, held: int = HELD, leaf: int = LEAF) -> DataFrame:
+    """(node, nbrs): each node's neighbours in its block, forward and reverse. Files as ``written`` has them; ``blocks`` says what they hold."""
+    spark = units.sparkSession
+    root = fresh(spark, "ann-graph")
+    blocks = _blocks(_stored(units, f"{root}/vectors", max(1, min(PIECE, held // dim))), max(1, held // dim))
+    for turn in range(rounds + 1):
+        todo = [(i, *r) for i, block in enumerate(blocks) if not block.settled for r in block.ranges()]
+        if not todo:
             break
-    else:
+
+        def run(t: int, turn: int = turn, todo: list = todo) -> Iterator[pa.RecordBatch]:
+            i, a, b = todo[t]
+            _, x, _ = _vectors(blocks[i].vectors)
+            nbr, sim, new = _descend(x, _edges(blocks[i].edges, degree), a, b) if turn else _first(x, a, b, degree, leaf)
+            uri = f"{root}/edges-{turn}/{uuid.uuid4().hex}"
+            put(uri, [nbr.astype("<i4").tobytes(), sim.astype("<f4").tobytes(), new.tobytes()])
+            yield pa.RecordBatch.from_pylist([{"t": t, "uri": uri, "new": int(new.sum()), "all": int((nbr >= 0).sum())}])
+
+        done = sorted(_tasks(spark, len(todo), run, "t long, uri string, new long, all long").collect())
+        for i, block in enumerate(blocks):
+            own = [r for r in done if todo[r.t][0] == i]
+            if own:
+                for path in block.edges:
+                    remove(spark, path)
+                block.edges = [r.uri for r in own]
+                block.settled = sum(r.new for r in own) < enough * max(1, sum(r["all"] for r in own))
+    if not all(block.settled for block in blocks):
         raise RuntimeError(f"graph: not settled after {rounds} rounds")
-    lists = written(edges.union(_reverse(edges, degree)).groupBy("node").agg(F.collect_set("nbr").alias("nbrs")), "ann-graph")
-    _freed(edges)
-    return lists
+    parts = [(i, *r) for i, block in enumerate(blocks) for r in block.ranges()]
+
+    def lists(t: int) -> Iterator[pa.RecordBatch]:
+        i, a, b = parts[t]
+        node = np.concatenate([np.frombuffer(get(uri), "<i8", n) for uri, n in blocks[i].vectors])
+        both, _ = _both(*_edges(blocks[i].edges, degree))
+        near = [node[np.unique(r[r >= 0])] for r in both[a:b]]
+        yield pa.RecordBatch.from_arrays([pa.array(node[a:b]), pa.array(near, pa.list_(pa.int64()))], names=["node", "nbrs"])
+
+    out = _tasks(spark, len(parts), lists, "node long, nbrs array<long>")
+    out.written_at, out.blocks, out.degree, out.leaf = root, blocks, degree, leaf
+    return out
 
 
 def width(nodes: int) -> int:
@@ -236,41 +327,78 @@ def width(nodes: int) -> int:
     return max(BEAM, math.ceil(WIDER * math.sqrt(nodes)))
 
 
-def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = BEAM) -> DataFrame:
-    """Greedy search from each query node (column q): its beam as rows (q, node)."""
-    STATE = "q long, unit binary, node binary, sim binary, open binary, seen binary, next array<long>"
-    front_size = max(1, -(-beam // FRONT))
-
-    def row(q: int, unit: bytes, node: np.ndarray, sim: np.ndarray, open_: np.ndarray, seen: np.ndarray) -> dict:
-        next_ = open_ & (np.cumsum(open_) <= front_size)
-        return {"q": q, "unit": unit, "node": node.tobytes(), "sim": sim.tobytes(), "open": (open_ & ~next_).tobytes(), "seen": seen.tobytes(), "next": node[next_]}
-
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for q, unit in zip(batch["q"].to_pylist(), batch["unit"].to_pylist(), strict=True):
-                own = np.array([q], np.int64)
-                yield pa.RecordBatch.from_pylist([row(q, unit, own, np.array([2], np.float32), np.ones(1, bool), own)], schema)
-
-    def unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in each(batches, "q"):
-            seen = np.frombuffer(next(s for s in table["seen"].to_pylist() if s is not None), np.int64)
-            met = np.unique(pc.list_flatten(table["nbrs"]).to_numpy())
-            fresh = np.setdiff1d(met, seen, assume_unique=True)
-            if len(fresh):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fresh), table["q"][0].as_py())), pa.array(fresh)], names=["q", "node"])
-
-    def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _greedy(x: np.ndarray, both: np.ndarray, start: np.ndarray, v: np.ndarray, beam: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and similarities of the beam that a search for v from ``start`` ends with, nearest first; ``seen`` is false and is left so."""
+    front = max(1, -(-beam // FRONT))
+    node, sim, open_ = np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, bool)
+    new, touched = start, []
+    while True:
+        seen[new] = True
+        touched.append(new)
+        near = x[new] @ v
+        if len(node) >= beam:
+            good = near >= sim[-1]
+            new, near = new[good], near[good]
+        node, sim, open_ = np.concatenate([node, new]), np.concatenate([sim, near]), np.concatenate([open_, np.ones(len(new), bool)])
+        best = np.lexsort((node, -sim))[:beam]
+        node, sim, open_ = node[best], sim[best], open_[best]
+        next_ = np.flatnonzero(open_)[:front]
+        if not len(next_):
+            break
+        open_[next_] = False
+        new = both[node[next_]].ravel()
+        new = np.unique(new[new >= 0])
+        new = new[~seen[new]]
+    seen[np.concatenate(touched)] = False
+    return node, sim
+
+
+def _likely(sim: np.ndarray, error: np.ndarray, keep: int | None) -> np.ndarray:
+    """Which of a query's nodes may be among its ``keep`` nearest by the exact score."""
+    if keep is None or len(sim) <= keep:
+        return np.ones(len(sim), bool)
+    least = np.partition(sim - error, len(sim) - keep)[len(sim) - keep]
+    return sim + error >= least
+
+
+def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int | None = None, keep: int | None = None) -> DataFrame:
+    """Greedy search from each query node (column q) in each block: rows (q, node) of its beam, or of all that may be among its ``keep`` nearest."""
+    spark, blocks, degree, leaf, root = lists.sparkSession, lists.blocks, lists.degree, lists.leaf, fresh(lists.sparkSession, "ann-asked")
+    own = queries.select("q").distinct()
+    each_ = min(max(ASKED[0], -(-own.count() // 24)), ASKED[1])
+    asked = _stored(own.join(units, F.col("q") == F.col("node")).select("node", "unit"), root, each_)
+    STATE = pa.schema([("q", pa.int64()), *((c, pa.binary()) for c in ("node", "sim", "error"))])
+
+    def row(q: int, node: np.ndarray, sim: np.ndarray, error: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{"q": q, "node": node.tobytes(), "sim": sim.tobytes(), "error": error.tobytes()}], STATE)
+
+    def run(t: int) -> Iterator[pa.RecordBatch]:
+        block = blocks[t // len(asked)]
+        node, x, moved = _vectors(block.vectors)
+        both, _ = _both(*_edges(block.edges, degree))
+        q, v, q_moved = _vectors([asked[t % len(asked)]])
+        order = np.argsort(node)
+        at = order[np.minimum(np.searchsorted(node, q, sorter=order), len(node) - 1)]
+        start = [[at[i : i + 1][node[at[i : i + 1]] == q[i]]] for i in range(len(q))]
+        for seed in range(1, TREES + 1):
+            for members, some in _leaves(x, leaf, seed, v):
+                for i in some.tolist():
+                    start[i].append(members)
+        seen, wide = np.zeros(len(node), bool), beam or width(len(node))
+        for i in range(len(q)):
+            found, sim = _greedy(x, both, np.unique(np.concatenate(start[i])), v[i], wide, seen)
+            error = moved[found] + q_moved[i] * (1 + moved[found]) + np.float32(1e-5)
+            k = _likely(sim, error, keep)
+            yield row(int(q[i]), node[found[k]], sim[k], error[k])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in each(batches, "q"):
-            old = table.filter(pc.is_null(table["new"])).select(["q", "unit", "node", "sim", "open", "seen"]).to_pylist()[0]
-            found = table.filter(pc.is_valid(table["new"]))
-            new = found["new"].to_numpy()
-            sim = _unpack(found["unit"]) @ _unpack(pa.array([old["unit"]]))[0] if len(new) else np.empty(0, np.float32)
-            node = np.concatenate([np.frombuffer(old["node"], np.int64), new])
-            sim = np.concatenate([np.frombuffer(old["sim"], np.float32), sim.astype(np.float32)])
-            open_ = np.concatenate([np.frombuffer(old["open"], bool), np.ones(len(new), bool)])
-            seen = np.sort(np.concatenate([np.frombuffer(old["seen"], np.int64), new]))
-            best = np.lexsort((node, -sim))[:beam]
-            yield pa.RecordBatch.from_pylist([row(old["q"], old["unit"], node[best], sim[best], open_[best], seen)], schema)
+            node, sim, error = (np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in (("node", np.int64), ("sim", np.float32), ("error", np.float32)))
+            if keep is None:
+                k = np.lexsort((node, -sim))[: beam or len(node)]
+            else:
+                k = _likely(sim, error, keep)
+            yield row(table["q"][0].as_py(), node[k], sim[k], error[k])
 
     def beams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,35 +406,25 @@ def search(queries: DataFrame, units: DataFrame, lists: DataFrame, beam: int = B
                 node = np.frombuffer(raw, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), q)), pa.array(node)], names=["q", "node"])
 
-    schema = pa.schema([("q", pa.int64()), *((c, pa.binary()) for c in ("unit", "node", "sim", "open", "seen")), ("next", pa.list_(pa.int64()))])
-    own = queries.select("q").distinct().join(units, F.col("q") == F.col("node")).select("q", "unit")
-    state = written(own.mapInArrow(begin, STATE), "ann-beam")
-    none = F.lit(None)
-    for _ in range(MAX_HOPS):
-        front = state.select("q", F.explode("next").alias("from"))
-        met = front.join(lists, F.col("from") == F.col("node")).select("q", "nbrs", none.cast("binary").alias("seen"))
-        met = met.union(state.select("q", none.cast("array<long>"), "seen"))
-        fresh = met.repartition("q").sortWithinPartitions("q").mapInArrow(unseen, "q long, node long").withColumnRenamed("node", "new")
-        found = fresh.join(units, F.col("new") == F.col("node")).select("q", "new", "unit", *[none.cast("binary").alias(c) for c in ("node", "sim", "open", "seen")])
-        found = found.union(state.select("q", none.cast("long"), "unit", "node", "sim", "open", "seen"))
-        after = written(found.repartition("q").sortWithinPartitions("q").mapInArrow(advance, STATE), "ann-beam")
-        _freed(state)
-        state = after
-        if state.where(F.size("next") > 0).isEmpty():
-            break
-    else:
-        raise RuntimeError(f"search: not settled after {MAX_HOPS} hops")
+    schema = "q long, node binary, sim binary, error binary"
+    state = _tasks(spark, len(blocks) * len(asked), run, schema)
+    if len(blocks) > 1:
+        state = state.repartition("q").sortWithinPartitions("q").mapInArrow(merge, schema)
+    state = written(state, "ann-beam")
+    if asked:
+        remove(spark, root)
     return state.select("q", "node").mapInArrow(beams, "q long, node long")
 
 
-def nearest(df: DataFrame, is_query: Callable, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", beam: int | None = None, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def nearest(df: DataFrame, is_query: Callable, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", beam: int | None = None, degree: int = DEGREE, rounds: int = ROUNDS, held: int = HELD, leaf: int = LEAF) -> DataFrame:
     """For ids with is_query(column): query_id, rank, vec_id and score (cosine, double) of the k nearest found."""
     vectors, units, dim = nodes_of(df, vec_id, vector, k + 1)
-    lists = graph(units, dim, degree, rounds)
+    lists = graph(units, dim, degree, rounds, held=held, leaf=leaf)
     # A node that holds a query's id beyond the first k + 1 of its copies is found by its vector.
     rows = df.select(df[vec_id].cast("long").alias("query_id"), df[vector].cast("array<double>").alias("v")).where(F.col("query_id").isNotNull() & is_query(F.col("query_id"))).distinct()
     queries = written(rows.join(vectors, F.col("v") == F.col("vec")).select("query_id", F.col("node").alias("q")), "ann-asked")
-    state = search(queries, units, lists, beam or width(vectors.count()))
+    state = search(queries, units, lists, beam, k + 1)
+    _freed(lists, units)
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
     theirs = vectors.select(F.col("node").alias("n"), "vec", "ids", F.sqrt(dot("vec", "vec")).alias("norm"))
     mine = vectors.select(F.col("node").alias("m"), F.col("vec").alias("qvec"), F.sqrt(dot("vec", "vec")).alias("qnorm"))

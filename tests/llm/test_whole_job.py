@@ -196,3 +196,64 @@ def test_op1_search_holds_one_row_a_query(spark, monkeypatch):
     found = neighbours.search(queries, units, lists, beam=600).collect()
     assert {name for name, _ in kept} == {"ann-beam"} and {n for _, n in kept} == {7}
     assert len(found) == len({(r.q, r.node) for r in found}) == 7 * 600
+
+
+def random_vectors(spark, n, dim, seed):
+    x = np.random.default_rng(seed).standard_normal((n, dim))
+    return spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"), x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_op1_search_has_no_row_for_what_it_looks_at(spark, monkeypatch):
+    """A search writes once, not at each hop, and one row for each query; what is scored exactly grows with the result asked for, not with the beam."""
+    df, unit = random_vectors(spark, 1500, 32, 8)
+    vectors, units, dim = neighbours.nodes_of(df, "vec_id", "embedding", 6)
+    lists = neighbours.graph(units, dim, degree=8)
+    queries = vectors.limit(9).select(vectors["node"].alias("q")).localCheckpoint()
+    kept, written = [], neighbours.written
+
+    def counted(frame, name):
+        out = written(frame, name)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "written", counted)
+    whole = {(r.q, r.node) for r in neighbours.search(queries, units, lists, beam=1500).collect()}
+    likely = {(r.q, r.node) for r in neighbours.search(queries, units, lists, beam=1500, keep=6).collect()}
+    assert kept == [9, 9] and likely < whole and len(likely) < 9 * 60
+    id_of = {r.node: r.ids[0] for r in vectors.collect()}
+    for q in {q for q, _ in whole}:
+        score = unit @ unit[id_of[q]]
+        assert set(np.argsort(-score)[:6].tolist()) <= {id_of[n] for p, n in likely if p == q}
+
+
+@pytest.mark.parametrize("clusters", [0, 60])
+def test_op1_blocks_find_what_lies_in_others(spark, clusters):
+    """Blocks of 500 nodes, graphs of small leaves: the nearest of other blocks are found, also where clusters keep graphs apart."""
+    df, unit = random_vectors(spark, 3000, 24, 9)
+    if clusters:
+        rng = np.random.default_rng(10)
+        x = rng.standard_normal((clusters, 24))[np.arange(3000) % clusters] + 0.01 * rng.standard_normal((3000, 24))
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    _, units, dim = neighbours.nodes_of(df, "vec_id", "embedding", 6)
+    assert len(neighbours.graph(units, dim, held=500 * 24, leaf=64).blocks) == 6
+    found = {}
+    for r in neighbours.nearest(df, lambda c: c % 50 == 0, beam=100, held=500 * 24, leaf=64).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 3000, 50):
+        score = unit @ unit[q]
+        score[q] = -9
+        hits += len(found[q] & set(np.argsort(-score)[:5].tolist()))
+    assert hits >= 0.95 * 5 * 60
+
+
+def test_op1_odd_rows(spark):
+    """No rows, one id, unusable rows, copies, ties and vectors of unequal length."""
+    def nearest(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in neighbours.nearest(df, lambda c: c % 50 == 0).collect())
+
+    assert nearest([]) == nearest([(0, [1.0, 2.0])]) == nearest([(0, [0.0, 0.0]), (50, None), (None, [1.0, 0.0]), (100, [1.0, float("nan")])]) == []
+    got = nearest([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (3, [1.0]), (2, [0.0, 1.0]), (1, [0.0, -1.0]), (50, [0.0, 0.0]), (4, [2.0, 0.0])])
+    assert got == [(0, 1, 3, 1.0), (0, 2, 4, 1.0), (0, 3, 1, 0.0), (0, 4, 2, 0.0)]
