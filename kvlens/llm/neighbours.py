@@ -34,7 +34,6 @@ id; an empty table, or one of a single id, gives no rows.
 
 from __future__ import annotations
 
-import gc
 import math
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .arrow import each
-from .storage import discard, fresh, get, put, remove, written
+from .storage import freed, fresh, get, put, remove, written
 
 TREES, LEAF = 4, 1024
 DEGREE, ENOUGH = 24, 0.01
@@ -95,14 +94,8 @@ def nodes_of(df: DataFrame, vec_id: str, vector: str, ids: int) -> DataFrame:
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             yield pa.RecordBatch.from_arrays([batch["node"], _pack(x)], names=["node", "unit"])
 
-    return found, written(found.select("node", "vec").mapInArrow(run, "node long, unit binary"), "ann-units"), dim
-
-
-def _freed(*frames: DataFrame) -> None:
-    """Discards frames, and lets the driver free shuffle files that nothing refers to any more."""
-    discard(*frames)
-    gc.collect()
-    frames[0].sparkSession._jvm.System.gc()
+    freed(df.sparkSession)
+    return found, found.select("node", "vec").mapInArrow(run, "node long, unit binary"), dim
 
 
 def _tasks(spark: SparkSession, n: int, run: Callable[[int], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -424,7 +417,7 @@ def nearest(df: DataFrame, is_query: Callable, k: int = 5, vec_id: str = "vec_id
     rows = df.select(df[vec_id].cast("long").alias("query_id"), df[vector].cast("array<double>").alias("v")).where(F.col("query_id").isNotNull() & is_query(F.col("query_id"))).distinct()
     queries = written(rows.join(vectors, F.col("v") == F.col("vec")).select("query_id", F.col("node").alias("q")), "ann-asked")
     state = search(queries, units, lists, beam, k + 1)
-    _freed(lists, units)
+    freed(df.sparkSession, lists)
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0.0)) * F.coalesce(y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
     theirs = vectors.select(F.col("node").alias("n"), "vec", "ids", F.sqrt(dot("vec", "vec")).alias("norm"))
     mine = vectors.select(F.col("node").alias("m"), F.col("vec").alias("qvec"), F.sqrt(dot("vec", "vec")).alias("qnorm"))
